@@ -189,7 +189,8 @@ def bigram_counts(texts: DataFrame, column: str) -> dict[str, float]:
                 for token in plain(t).split(" ") if t is not None else ():
                     marks = "\x02" + "".join(map(mark, token)) + "\x03"
                     seen.update(map("".join, zip(marks, marks[1:])))
-            yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())})
+            if seen:
+                yield pd.DataFrame({"pair": list(seen), "n": list(seen.values())})
 
     partial = texts.select(column).mapInPandas(count, "pair string, n long")
     return {r["pair"]: float(r["n"]) for r in partial.groupBy("pair").agg(F.sum("n").alias("n")).collect()}
