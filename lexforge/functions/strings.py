@@ -134,10 +134,9 @@ _DROPPED = " '-・／＿‐−"
 
 def backend_key(c: Column) -> Column:
     """Backend key: some signs dropped, ASCII in upper case and full width; null if nothing is left."""
-    bare = F.upper(F.translate(c, _DROPPED, ""))
     narrow = "".join(map(chr, range(0x21, 0x7F)))
-    wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
-    return F.nullif(F.translate(bare, narrow, wide), F.lit(""))
+    upper = "".join(chr(0xFEE0 + ord(x.upper())) for x in narrow)
+    return F.nullif(F.translate(F.translate(c, _DROPPED, ""), narrow, upper), F.lit(""))
 
 
 def entry_tag(page_id: Column) -> Column:
