@@ -22,6 +22,9 @@ from lexforge.llm.packing import tokenizer
 LEVELS = ("section1", "section2", "section3", "section4", "section5", "section6", "block", "line", "sentence", "clause", "word", "character")
 _NEVER = len(LEVELS)
 
+#: Tokens of each piece left unused, see cut_document.
+SLACK = 2
+
 _HEADING = re.compile(rb"^(?:(#{1,6})[ \t]+\S|(={1,6})[^=\n].*?={1,6}[ \t]*$|\xe2\x96\xa0|<h([1-6])\b|\\((?:sub){0,2})section\b)", re.M)
 _BLOCK = re.compile(rb"\n[ \t\r]*\n\s*")
 _LINE = re.compile(rb"\n")
@@ -114,8 +117,11 @@ def cut_document(text: str, limits: list[tuple[int, int, int]], encoding) -> lis
     """(limit_id, piece_no, token_start, token_end, n_overlap, cut, text) for each limit the document exceeds.
 
     ``limits`` are (limit_id, max_tokens, overlap_tokens). Each piece after the first begins ``overlap_tokens`` before
-    the end of its predecessor, moved back to the start of that character if it falls inside one, and further back
-    within the limit if the piece, read by itself, would need more tokens than allowed.
+    the end of its predecessor, moved back to the start of that character if it falls inside one.
+
+    A piece read by itself has the same tokens: merges never cross a boundary that the document's encoding kept, so
+    both sides of it are encoded as before. Only the pattern that parts words can read a beginning differently (an
+    apostrophe that now starts the text), by a token at most; SLACK leaves room for that.
     """
     data = text.encode("utf-8", "replace")
     if len(data) <= min((m for _, m, _ in limits), default=0):
@@ -129,26 +135,13 @@ def cut_document(text: str, limits: list[tuple[int, int, int]], encoding) -> lis
     level = boundary_levels(data, starts)
     rows = []
     for limit_id, most, overlap in todo:
-        fresh = max(1, most - overlap - (8 if overlap else 0))  # room for the overlap and for moving its start back
+        fresh = max(1, most - overlap - (SLACK + 3 if overlap else SLACK))  # a character has at most three tokens more
         before = 0
         for no, (s, e, cut) in enumerate(pack_tree(level, fresh)):
             start = max(before, s - overlap) if no else s
             while start > before and level[start] == _NEVER:
                 start -= 1
             piece = data[starts[start] : starts[e]].decode("utf-8", "replace")
-            if start < s:
-                tries = 0
-                while len(encoding.encode_ordinary(piece)) > most and tries < 8:
-                    # cut elsewhere in the word: its end reads differently without its beginning
-                    tries += 1
-                    moved = start - 1
-                    while moved > before and level[moved] == _NEVER:
-                        moved -= 1
-                    if e - moved > most or moved <= before:
-                        start = s
-                    else:
-                        start = moved
-                    piece = data[starts[start] : starts[e]].decode("utf-8", "replace")
             rows.append((limit_id, no, start, e, s - start, LEVELS[cut] if no and cut < _NEVER else "start" if not no else "token", piece))
             before = start
     return rows
