@@ -87,6 +87,16 @@ def unrepresentable_examples(texts: DataFrame, key: str, column: str, *, example
     return rare.join(kept, "ch")
 
 
+def unrepresentable(text: Column) -> Column:
+    """The unrepresentable characters of a text in order (X18); null for null."""
+
+    @F.pandas_udf("array<string>")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else [] if t.isascii() else [c for c in t if not is_representable(c)])
+
+    return run(text)
+
+
 def embed(text: Column, plan: DataFrame) -> Column:
     """Text with planned characters as ``[code]`` tokens and the rest of the rare ones as ``[U+XXXX]``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions import charset, strings, urls
-from lexforge.operators import html, links, render, search
+from lexforge.operators import html, links, render, search, wikitext
 from lexforge.plans import build
 from lexforge.plans.records_queries import LATEST_SQL, pages, sql_key, sql_strip
 from lexforge.session import table
@@ -342,6 +342,17 @@ def j13_redirect_chains(spark, d):
     return links.redirect_chains(p.select("title"), hops)
 
 
+@query()
+def l01_wikitext_blocks(spark, d):
+    bodies = table(spark, d, "edge_case_articles").select("source_sequence", F.col("article_body.wikitext").alias("text"))
+    return wikitext.read_bodies(bodies, key=["source_sequence"], wikitext="text").select("source_sequence", F.explode("blocks").alias("b")).select("source_sequence", "b.*")
+
+
+@query(f"WITH {LATEST_SQL}, a AS (SELECT page_id, list_sort(list(DISTINCT title)) AS ts FROM aliases WHERE title IS NOT NULL GROUP BY 1) SELECT concat_ws(chr(9), regexp_replace(p.title, '[\\t\\n\\r]', ' ', 'g'), regexp_replace(coalesce(array_to_string(list_filter(a.ts, lambda x: x <> p.title), '|'), ''), '[\\t\\n\\r]', ' ', 'g')) AS record FROM pages p LEFT JOIN a USING (page_id) WHERE p.title IS NOT NULL")
+def l06_title_records(spark, d):
+    return wikitext.title_records(pages(spark, d), table(spark, d, "aliases"))
+
+
 def _records(spark, d) -> DataFrame:
     rows = table(spark, d, "edge_case_articles")
     return rows.withColumn("source_hash", F.sha2(F.to_json(F.struct("name", "url", "date_modified", "article_body", "redirects", "categories")), 256))

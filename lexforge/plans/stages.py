@@ -165,6 +165,29 @@ def release_notes(report: dict[str, Any], *, project: str) -> str:
     return "\n".join(lines) + ("\n" if report.get("has_changes") else "\n\nNo changes.\n")
 
 
+def observed(df: DataFrame, name: str, *metrics: Any) -> tuple[DataFrame, Any]:
+    """``df`` and an Observation that holds the row count and further metrics once it was written (Z09): no second pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), seen
+
+
+_SECRET = ("authorization", "token", "password", "secret", "api_key")
+
+
+def log_line(level: str, message: str, **fields: Any) -> str:
+    """One JSON log line with secrets blanked out, by field name and by ``Bearer ...`` in texts."""
+    import re
+
+    hide = lambda k, v: "***" if any(s in k.lower() for s in _SECRET) else re.sub(r"(?i)(bearer\s+)\S+", r"\1***", v) if isinstance(v, str) else v
+    return canonical_json({"at": now(), "level": level, "message": hide("", message), **{k: hide(k, v) for k, v in fields.items()}})
+
+
+#: Version of the written tables; a manifest of another version makes a stage run again.
+SCHEMA_VERSION = 1
+
+
 def pending(planned: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What an interrupted stage still has to do."""
     return planned.join(done.select(F.col(key).alias("_d")).distinct(), F.col(key) == F.col("_d"), "left_anti")
