@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.strings import Key, nfkc_title
 from lexforge.functions.urls import base_url, parse_internal
-from lexforge.operators.orphans import SALTS
+from lexforge.operators.skew import attach
+from lexforge.session import materialize
 
 
 def extract_links(bodies: DataFrame, *, page: str, html: str, bases: tuple[str, ...] = ()) -> DataFrame:
@@ -32,17 +33,17 @@ def resolve(links: DataFrame, articles: DataFrame, redirects: DataFrame, *, titl
     target of a redirect with it (one hop, the target's state is not looked at), else it is missing. ``articles`` are
     (page_id, title), ``redirects`` (target_page_id, title).
 
-    Distinct keys are resolved first, the verdicts return by a join on the key that is salted against hot titles; the
-    lookup side is one row per distinct key. Null titles are missing.
+    Distinct keys are resolved first, with the links that hold them counted; the verdicts return by a join in which hot
+    titles are broadcast. Null titles are missing.
     """
     keyed = links.withColumn("_key", F.when(F.col(namespace).isNull(), key(F.col(title))))
-    asked = keyed.select("_key").filter("_key is not null").distinct()
+    asked = keyed.filter("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     by_title = title_lookup(articles, title="title", page="page_id", key=key)
     by_redirect = title_lookup(redirects, title="title", page="target_page_id", key=key)
-    known = asked.join(by_title.toDF("_key", "_direct"), "_key", "left").join(by_redirect.toDF("_key", "_hop"), "_key", "left").select("_key", F.coalesce("_direct", "_hop").alias("_target")).filter("_target is not null")
-    salted = known.select(F.col("_key").alias("_k"), F.col("_target"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_s"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in links.columns]), F.lit(SALTS)).cast("int")
-    joined = keyed.withColumn("_salt", salt).join(salted, (F.col("_key") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
+    verdicts = asked.join(by_title.toDF("_key", "_direct"), "_key", "left").join(by_redirect.toDF("_key", "_hop"), "_key", "left").select("_key", "_n", F.coalesce("_direct", "_hop").alias("_target"))
+    verdicts = materialize(verdicts, "titles")
+    total = verdicts.agg(F.sum("_n")).first()[0] or 0
+    joined = attach(keyed, verdicts, ["_key"], weight="_n", total=total)
     verdict = F.when(F.col(namespace).isNotNull(), "externalized").when(F.col("_target").isNotNull(), "resolved").otherwise("missing")
     drop = [c for c in ("target_page_id", "resolution") if c in links.columns]
     return joined.drop(*drop).select(*[c for c in links.columns if c not in drop], F.col("_target").alias("target_page_id"), verdict.alias("resolution"))

@@ -3,8 +3,8 @@
 1. Parent presence: the last state per (tag, month) gives half-open month intervals in which a key exists.
 2. A Bloom filter over all parent keys, built by a distributed bit_or and bounded in bits, proves most orphans at once.
 3. Only filter-positive references, reduced to distinct (key, month), are verified by an exact equi-join with the
-   intervals; the verdict returns to the references through a salted anti join, so a title that a third of all
-   references name is spread over all tasks.
+   intervals; the verdicts return by a join in which hot keys (at most a fixed number) are broadcast, so a title that a
+   third of all references name is not moved at all.
 4. Orphans are counted per table and month.
 """
 
@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from lexforge.functions.times import utc_month
+from lexforge.operators.skew import attach
+from lexforge.session import materialize
 
 #: Most bits of the filter (32 MB). With more keys than fit, more references go to the exact join; the result is the same.
 MAX_BITS = 1 << 28
 PROBES = 5
 #: A month after every real one.
 NEVER = "9999-99"
-SALTS = 16
 
 
 def presence_intervals(entries: DataFrame, *, tag: str = "tag", at: str = "rendered_at", deleted: str = "is_deleted") -> DataFrame:
@@ -129,23 +130,23 @@ def orphan_references(entries: DataFrame, links: DataFrame, *, max_bits: int = M
     keys = intervals.select(F.lit("entries").alias("table_name"), F.col("tag").alias("key")).unionByName(entry_names(entries).select(F.lit("links").alias("table_name"), F.col("name").alias("key")))
     sizes = entries.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.size("aliases"), F.lit(0)))).first()
     bloom = build_bloom(keys, ["table_name", "key"], expected=2 * (sizes[0] or 0) + max(0, sizes[1] or 0), max_bits=max_bits)
-    probed = refs.withColumn("_maybe", probe_bloom(spark, bloom, ["table_name", "key"]))
+    # both verdicts, the verification and its return read the probed references, so they are written once
+    probed = materialize(refs.withColumn("ref_month", F.coalesce("ref_month", F.lit(NEVER))).withColumn("_maybe", probe_bloom(spark, bloom, ["table_name", "key"])), "references")
     definite = probed.filter("not _maybe").drop("_maybe")
     doubtful = probed.filter("_maybe").drop("_maybe")
-    asked = doubtful.select("table_name", "key", "ref_month").distinct()
+    asked = doubtful.groupBy("table_name", "key", "ref_month").agg(F.count(F.lit(1)).alias("n"))
     p = parents.select(F.col("table_name").alias("_t"), F.col("key").alias("_k"), "month_from", "month_to")
     there = asked.join(
         p,
-        (F.col("table_name") == F.col("_t")) & (F.col("key") == F.col("_k")) & (F.col("ref_month").isNull() | ((F.col("month_from") <= F.col("ref_month")) & (F.col("ref_month") < F.col("month_to")))),
+        (F.col("table_name") == F.col("_t")) & (F.col("key") == F.col("_k")) & ((F.col("ref_month") == NEVER) | ((F.col("month_from") <= F.col("ref_month")) & (F.col("ref_month") < F.col("month_to")))),
         "left_semi",
     )
-    salted = there.select(F.col("table_name").alias("_t"), F.col("key").alias("_k"), F.coalesce("ref_month", F.lit(NEVER)).alias("_m"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_s"))
-    salt = F.pmod(F.xxhash64("source_page_id", "target"), F.lit(SALTS))
-    verified = doubtful.withColumn("_salt", salt).join(
-        salted, (F.col("table_name") == F.col("_t")) & (F.col("key") == F.col("_k")) & (F.coalesce("ref_month", F.lit(NEVER)) == F.col("_m")) & (F.col("_salt") == F.col("_s")), "left_anti"
-    )
+    on = ["table_name", "key", "ref_month"]
+    verdicts = materialize(asked.join(there.select(*on, F.lit(True).alias("there")), on, "left"), "verdicts")
+    total = verdicts.agg(F.sum("n")).first()[0] or 0
+    verified = attach(doubtful, verdicts, on, weight="n", total=total).filter("there is null")
     columns = ["table_name", "source_page_id", "target", "ref_month"]
-    return definite.select(*columns).unionByName(verified.select(*columns))
+    return definite.select(*columns).unionByName(verified.select(*columns)).withColumn("ref_month", F.nullif(F.col("ref_month"), F.lit(NEVER)))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
