@@ -36,19 +36,17 @@ def _bit(row: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), (row % 64).cast("int"))
 
 
-def deletion_vectors(table: DataFrame, *, message: list[Column], counted: Column, order: str) -> DataFrame:
+def deletion_vectors(table: DataFrame, *, message: list[Column], counted: Column, order: Column) -> DataFrame:
     """(_file, _block, bits): for each block that loses rows, 64 longs whose set bits are the rows to drop.
 
     ``message`` are the columns naming a message (null equals null), ``counted`` says which rows are messages, ``order``
-    is the delivery order whose lowest value wins. Rows that tie in it are equally good: one wins, which one is fixed
-    when the vectors are written. ``table`` must be a Parquet scan (row positions come from its metadata).
+    (not null; a struct for several criteria) is the order whose lowest value wins. Rows that tie in it are equally good:
+    one wins, which one is fixed when the vectors are written. ``table`` must be a Parquet scan (row positions come from its metadata).
     """
     keys = [c.alias(f"_k{i}") for i, c in enumerate(message)]
-    narrow = _position(table).filter(counted).select(*keys, F.col(order).alias("_order"), "_file", "_row")
+    narrow = _position(table).filter(counted).select(*keys, order.alias("_order"), "_file", "_row")
     names = [f"_k{i}" for i in range(len(keys))]
-    # null orders lose against any number: min_by skips them, so they are moved to the end explicitly
-    rank = F.coalesce(F.col("_order"), F.lit(2**63 - 1))
-    winners = narrow.groupBy(*names).agg(F.min_by("_file", rank).alias("_file"), F.min_by("_row", rank).alias("_row"))
+    winners = narrow.groupBy(*names).agg(F.min_by("_file", "_order").alias("_file"), F.min_by("_row", "_order").alias("_row"))
     word = (F.col("_row") / 64).cast("bigint").alias("_word")
     all_bits = _position(table).filter(counted).select("_file", word, _bit(F.col("_row")).alias("_all")).groupBy("_file", "_word").agg(F.bit_or("_all").alias("_all"))
     won_bits = winners.select("_file", word, _bit(F.col("_row")).alias("_won")).groupBy("_file", "_word").agg(F.bit_or("_won").alias("_won"))
@@ -104,7 +102,19 @@ def article_message() -> Column:
 def article_deletion_vectors(table: DataFrame) -> DataFrame:
     """Deletion vectors of an article-message table, written once so that every later read sees the same winners."""
     _assert_distinct_files(table)
-    return materialize(deletion_vectors(table, message=message_columns(), counted=article_message(), order="source_sequence"), "deletions")
+    order = F.coalesce("source_sequence", F.lit(2**63 - 1))  # an unknown position loses against any known one
+    return materialize(deletion_vectors(table, message=message_columns(), counted=article_message(), order=order), "deletions")
+
+
+def newest_rows(table: DataFrame, *, key: Column, counted: Column, revision: Column, arrival: list[str]) -> DataFrame:
+    """The full rows of ``table`` that ``counted`` admits, one per key: highest revision, earliest arrival of it.
+
+    ``table`` is a Parquet scan, possibly with derived columns. Wide columns are not shuffled.
+    """
+    _assert_distinct_files(table)
+    order = F.struct((-revision).alias("newest"), *arrival)
+    vectors = materialize(deletion_vectors(table, message=[key], counted=counted, order=order), "deletions")
+    return with_deletions(table.filter(counted), vectors).filter("not _deleted").drop("_deleted")
 
 
 def distinct_messages(table: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.strings import Key, index_key, nfkc_title
 from lexforge.functions.times import iso_instant, utc_wall
-from lexforge.operators import html, ingest, links, media, render, search, verify
+from lexforge.operators import delivery, html, ingest, links, media, render, search, verify
 from lexforge.session import materialize
 
 
@@ -46,17 +46,22 @@ class Generated:
     extras: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def run_ingest(records: DataFrame, *, arrival: list[str], limits: ingest.Limits = ingest.Limits(), key: Key = nfkc_title) -> Raw:
+def run_ingest(records: DataFrame, *, arrival: list[str], limits: ingest.Limits = ingest.Limits(), key: Key = nfkc_title, positions: bool = False) -> Raw:
     """Validate, deduplicate by revision and part the child tables.
 
     ``records`` have the article columns, source_hash and the ``arrival`` columns; rows without identifier or
-    version.identifier are rejected. Winners are chosen on narrow columns; the wide rows join their own position.
+    version.identifier are rejected. Winners are chosen on narrow columns. With ``positions`` (records that come from a
+    Parquet scan) the wide rows are read once against deletion vectors; else they are shuffled once to meet the winners.
     """
     checked = ingest.validate(records.withColumn("_known", F.col("identifier").isNotNull() & F.col("version.identifier").isNotNull()), limits)
-    sound = checked.filter("_known and ingest_status = 'accepted'").drop("_known")
+    is_sound = F.col("_known") & (F.col("ingest_status") == "accepted")
+    sound = checked.filter(is_sound).drop("_known")
     narrow = sound.select(F.col("identifier").alias("page_id"), F.col("version.identifier").alias("revision_id"), "source_hash", *arrival)
-    winners = ingest.latest_states(narrow, key="page_id", revision="revision_id", arrival=arrival).select("page_id", *arrival)
-    accepted = sound.join(winners.select(F.col("page_id").alias("identifier"), *arrival), ["identifier", *arrival], "left_semi")
+    if positions:
+        accepted = delivery.newest_rows(checked, key=F.col("identifier"), counted=is_sound, revision=F.col("version.identifier"), arrival=arrival).drop("_known")
+    else:
+        winners = ingest.latest_states(narrow, key="page_id", revision="revision_id", arrival=arrival).select(F.col("page_id").alias("identifier"), *arrival)
+        accepted = sound.join(winners, ["identifier", *arrival], "left_semi").select(*sound.columns)
     _, bridge = ingest.licenses(accepted, arrival=arrival[0])
     return Raw(
         accepted,

@@ -360,12 +360,12 @@ def _records(spark, d) -> DataFrame:
 
 @query()
 def p08_entries(spark, d):
-    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"])
+    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
     made = build.run_generate(raw, build.run_normalize(raw))
     return made.entries
 
 
 @query()
 def p13_entry_issues(spark, d):
-    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"])
+    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
     return build.run_generate(raw, build.run_normalize(raw)).issues
