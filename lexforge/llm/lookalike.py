@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.session import materialize
+
 # Letters and signs drawn alike. Each line is a class; its first member names the class.
 LOOKALIKES = (
     "A Α А", "B Β В", "C С Ϲ", "E Ε Е", "F Ϝ", "H Η Н", "I Ι І Ӏ", "J Ј Ϳ", "K Κ К", "M Μ М", "N Ν", "O Ο О", "P Ρ Р", "Q Ԛ", "S Ѕ",
@@ -220,7 +222,8 @@ def lookalike_pairs(keyed: DataFrame, key: str, text: str) -> DataFrame:
     salting the larger side of the join.
     """
     texts = keyed.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
-    spellings = canonical_forms(texts.select("_text").distinct(), "_text", name="_form")
+    # the forms are read three times; they are searched once and written
+    spellings = materialize(canonical_forms(texts.select("_text").distinct(), "_text", name="_form"), "forms")
     several = spellings.groupBy("_form").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_form")
     variants = spellings.join(several, "_form", "left_semi")
     members = texts.join(variants, "_text").select("_form", "_text", "_key")
