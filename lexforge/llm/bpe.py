@@ -9,7 +9,9 @@ Two exact refinements keep the recursion shallow. Words are first cut where no t
 boundary. And besides the leftmost minimum-rank pair, each step also contracts every pair that nothing can take apart
 before its turn: its rank is lower than both neighbours' and lower than any merge in which a longer neighbour (one that
 ends, or starts, like the present one) could take either half. Merge ranks never decrease while BPE runs, so such a
-pair is contracted by BPE in any case.
+pair is contracted by BPE in any case. The few words that are not at their fixpoint after some steps (long ones without
+any blank) are cut once more, where no token contains both neighbours, and contract every occurrence of a part's
+minimum-rank pair per step.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ class Vocabulary(NamedTuple):
     merges: np.ndarray  # rows: left id, right id, rank, merged id
     left_thief: np.ndarray  # rows: token, right id, lowest rank of a merge of a longer token ending in token with right id
     right_thief: np.ndarray  # rows: left id, token, lowest rank of a merge of left id with a longer token starting with token
+    texts: list  # letters of each token, by id
+    all_texts: str  # all of them, parted by a sign that none contains
     spans: dict  # by the two bytes at it: (end of left side, start of right side) of the inner boundaries of all tokens, four bytes at most
 
 
@@ -72,29 +76,55 @@ def load_vocabulary(name: str = "byte_bpe_50k", folder: str = FOLDER) -> Vocabul
         for i in range(1, len(raw)):
             spans.setdefault((raw[i - 1], raw[i]), {})[raw[max(0, i - 4) : i], raw[i : i + 4]] = None
     pack = lambda d: np.array([(*k, v) for k, v in d.items()], dtype=np.int32)
-    return Vocabulary(np.array([ids[c] for c in letters], dtype=np.int32), np.array(merges, dtype=np.int32), pack(left), pack(right), {k: tuple(d) for k, d in spans.items()})
+    texts = [""] * (max(ids.values()) + 1)
+    for t, i in ids.items():
+        texts[i] = t
+    return Vocabulary(np.array([ids[c] for c in letters], dtype=np.int32), np.array(merges, dtype=np.int32), pack(left), pack(right), texts, "\n".join(texts), {k: tuple(d) for k, d in spans.items()})
 
 
-_STEP = """
+#: Steps of the first recursion; words that need more are cut again and go on in the second one.
+FIRST_STEPS = 12
+
+_FIRST = f"""
 WITH RECURSIVE t AS (
-  SELECT w, pos, tok, false AS done FROM symbols
+  SELECT w, pos, tok, false AS done, 0 AS step FROM symbols
   UNION ALL
-  SELECT w, pos, tok, done FROM (
-    SELECT w, pos, CASE WHEN take THEN merged ELSE tok END AS tok, coalesce(lag(take) OVER o, false) AS eaten, NOT bool_or(take) OVER (PARTITION BY w) AS done
+  SELECT w, pos, tok, done, step FROM (
+    SELECT w, pos, CASE WHEN take THEN merged ELSE tok END AS tok, coalesce(lag(take) OVER o, false) AS eaten, NOT bool_or(take) OVER (PARTITION BY w) AS done, step + 1 AS step
     FROM (
       SELECT *, coalesce(rank IS NOT NULL AND (pos = first_lowest
           OR (rank < coalesce(lag(rank) OVER o, 1e9) AND rank <= coalesce(lead(rank) OVER o, 1e9) AND rank < l_rank AND rank < r_rank)), false) AS take
       FROM (
         SELECT x.*, m.rank, m.merged, coalesce(l.rank, 1000000000) AS l_rank, coalesce(r.rank, 1000000000) AS r_rank,
           arg_min(x.pos, m.rank * 4294967296 + x.pos) OVER (PARTITION BY x.w) AS first_lowest
-        FROM (SELECT w, pos, tok, lag(tok) OVER o AS before, lead(tok) OVER o AS nxt, lead(tok, 2) OVER o AS after FROM t WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos)) x
+        FROM (SELECT w, pos, tok, step, lag(tok) OVER o AS before, lead(tok) OVER o AS nxt, lead(tok, 2) OVER o AS after
+              FROM t WHERE NOT done AND step < {FIRST_STEPS} WINDOW o AS (PARTITION BY w ORDER BY pos)) x
         LEFT JOIN merges m ON m.a = x.tok AND m.b = x.nxt
         LEFT JOIN left_thief l ON l.a = x.before AND l.b = x.tok
         LEFT JOIN right_thief r ON r.a = x.nxt AND r.b = x.after)
       WINDOW o AS (PARTITION BY w ORDER BY pos))
     WINDOW o AS (PARTITION BY w ORDER BY pos))
   WHERE NOT eaten)
-SELECT w, list(tok ORDER BY pos) AS ids FROM t WHERE done GROUP BY w
+SELECT w, list(tok ORDER BY pos) AS ids, bool_and(done) AS done FROM t WHERE done OR step = {FIRST_STEPS} GROUP BY w
+"""
+
+#: Every occurrence of a part's lowest pair at once; in a run of one token every other pair, from the left.
+_SECOND = """
+WITH RECURSIVE t AS (
+  SELECT w, pos, tok, false AS done FROM symbols
+  UNION ALL
+  SELECT w, pos, tok, done FROM (
+    SELECT w, pos, CASE WHEN take THEN merged ELSE tok END AS tok, coalesce(lag(take) OVER o, false) AS eaten, NOT bool_or(take) OVER (PARTITION BY w) AS done
+    FROM (
+      SELECT *, coalesce(rank = min(rank) OVER (PARTITION BY w) AND (tok <> nxt OR row_number() OVER (PARTITION BY w, tok, run ORDER BY pos) % 2 = 1), false) AS take
+      FROM (
+        SELECT x.*, m.rank, m.merged
+        FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, row_number() OVER o - row_number() OVER (PARTITION BY w, tok ORDER BY pos) AS run
+              FROM t WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos)) x
+        LEFT JOIN merges m ON m.a = x.tok AND m.b = x.nxt))
+    WINDOW o AS (PARTITION BY w ORDER BY pos))
+  WHERE NOT eaten)
+SELECT w, list(tok ORDER BY pos) AS ids, true AS done FROM t WHERE done GROUP BY w
 """
 
 
@@ -116,6 +146,7 @@ class Encoder:
         self.known: dict[str, list[int]] = {}
         self.parts: dict[bytes, list[int]] = {}
         self.cut: dict[str, bool] = {}
+        self.joins: dict[tuple[int, int], bool] = {}
 
     def _cuts(self, pair: str) -> bool:
         """Whether no token can span the boundary between two characters (compared as far as both reach)."""
@@ -139,17 +170,46 @@ class Encoder:
         out.append(word[start:].encode("utf-8", "surrogatepass"))
         return out
 
-    def solve(self, pieces: list[bytes]) -> None:
-        """Encode new pieces by the recursive query."""
-        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    def _recurse(self, query: str, lengths: np.ndarray, tokens: np.ndarray) -> list[tuple[list[int], bool]]:
+        """(ids, done) of each part; the parts' tokens are given end to end."""
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        symbols = pa.table({"w": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths), "pos": (np.arange(len(raw)) - starts).astype(np.int32), "tok": self.v.byte_ids[raw]})
+        symbols = pa.table({"w": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "pos": (np.arange(len(tokens)) - starts).astype(np.int32), "tok": tokens})
         self.db.register("symbols", symbols)
-        got = self.db.sql(_STEP).to_arrow_table()
+        got = self.db.sql(query).to_arrow_table()
         self.db.unregister("symbols")
-        for w, ids in zip(got["w"].to_pylist(), got["ids"].to_pylist()):
-            self.parts[pieces[w]] = ids
+        out: list = [None] * len(lengths)
+        for w, ids, done in zip(got["w"].to_pylist(), got["ids"].to_pylist(), got["done"].to_pylist()):
+            out[w] = (ids, done)
+        return out
+
+    def solve(self, pieces: list[bytes]) -> None:
+        """Encode new pieces by the recursive queries."""
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        first = self._recurse(_FIRST, lengths, self.v.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)])
+        open_: list[tuple[bytes, list[tuple[int, ...]]]] = []
+        for piece, (ids, done) in zip(pieces, first):
+            if done:
+                self.parts[piece] = ids
+            else:
+                open_.append((piece, self._dead_ends(ids)))
+        if open_:
+            rest = list(dict.fromkeys(p for _, ps in open_ for p in ps if len(p) > 1))
+            ended = {p: ids for p, (ids, _) in zip(rest, self._recurse(_SECOND, np.array([len(p) for p in rest], dtype=np.int64), np.array(list(chain.from_iterable(rest)), dtype=np.int32)))} if rest else {}
+            for piece, ps in open_:
+                self.parts[piece] = list(chain.from_iterable(ended.get(p, p) for p in ps))
+
+    def _dead_ends(self, ids: list[int]) -> list[tuple[int, ...]]:
+        """Tokens cut where no token of the vocabulary contains both neighbours, so that no later merge can join them."""
+        out, start = [], 0
+        for i in range(1, len(ids)):
+            pair = (ids[i - 1], ids[i])
+            alive = self.joins.get(pair)
+            if alive is None:
+                alive = self.joins[pair] = self.v.texts[pair[0]] + self.v.texts[pair[1]] in self.v.all_texts
+            if not alive:
+                out.append(tuple(ids[start:i]))
+                start = i
+        return [*out, tuple(ids[start:])]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Ids of each text; an empty list for an empty text and for null."""
@@ -157,6 +217,7 @@ class Encoder:
         if len(self.known) > REMEMBER:
             self.known.clear()
             self.parts.clear()
+            self.joins.clear()
         new = set(chain.from_iterable(split)) - self.known.keys()
         cut = {w: self.pieces(w) for w in new}
         todo = list(dict.fromkeys(p for ps in cut.values() for p in ps if p not in self.parts))

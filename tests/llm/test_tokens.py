@@ -32,6 +32,11 @@ def test_ids_of_random_texts(text):
     assert e.encode([text])[0] == packing.tokenizer("byte_bpe_50k").encode_ordinary(text)
 
 
+@pytest.mark.parametrize("word", ["".join(random.Random(1).choice("aeioubcdfglmnprst") for _ in range(20_000)), "a" * 30_001, "ab" * 9_000 + "ba" * 777, "=-" * 3000 + "-" * 5000, " " * 4097 + "x", "".join(random.Random(2).choice("アイウエオカキクケコー") for _ in range(9_000))])
+def test_long_words_without_blanks(encoder, reference, word):
+    assert encoder.encode([word])[0] == reference.encode_ordinary(word)
+
+
 def test_ids_equal_the_other_library(encoder):
     from tokenizers import Tokenizer
 
