@@ -7,6 +7,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.session import materialize
+
 # Signals of the strata.
 LONG_BYTES = 100_000
 MANY_TABLES = 3
@@ -73,12 +75,13 @@ def extract(raw: DataFrame, chosen: DataFrame, *, key: str) -> DataFrame:
 def systematic(df: DataFrame, *, key: str, size: int) -> DataFrame:
     """Every (count // size)-th row in key order, ``size`` at most.
 
-    Row numbers come from range partitions and their counts: two passes over the key, none of them in one task.
+    Row numbers come from range partitions and their counts: two passes over the key, none of them in one task. The
+    ranges are as many as shuffle partitions, so their offsets are a small broadcast.
     """
     total = df.count()
     stride = max(1, total // size)
-    parts = df.select(key).repartitionByRange(F.col(key)).withColumn("_p", F.spark_partition_id())
-    # the partitioning is materialized by sorting within the ranges' ids; counts per id are a few rows
+    # range bounds are sampled anew whenever a plan runs, so the partitioned keys are written once
+    parts = materialize(df.select(key).repartitionByRange(F.col(key)).withColumn("_p", F.spark_partition_id()), "ranges")
     inside = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
     ranges = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_lo"))
     offsets = ranges.select("_p", (F.sum("_n").over(Window.orderBy("_lo")) - F.col("_n")).alias("_before"))
