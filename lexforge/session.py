@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context, so they need no installation of it."""
+    context = spark.sparkContext
+    if getattr(context, "_lexforge_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lexforge-"), "lexforge.zip")  # read by this driver only, which serves it
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._lexforge_shipped = True
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One Parquet table of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
