@@ -206,7 +206,7 @@ def pack_documents(counts: DataFrame, capacity: int, *, key: str = "doc_id") ->
     totals = spread.groupBy("_group").agg(F.sum("_piece").alias("_n"))
     offsets = totals.select("_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_offset"))
     w = Window.partitionBy("_group").orderBy("_key", "_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = spread.withColumn("_before", F.sum("_piece").over(w) - F.col("_piece")).join(F.broadcast(offsets), "_group")
+    starts = spread.withColumn("_before", F.sum("_piece").over(w) - F.col("_piece")).join(offsets, "_group")
     full = starts.select("_key", "_offset", "_before", F.explode(F.sequence(F.lit(0), F.col("_piece") - 1)).alias("_no")).select(
         "_key", F.col("_no").alias("_piece"), (F.col("_no") * c).alias("token_start"), ((F.col("_no") + 1) * c).alias("token_end"), (F.lit(after) + F.col("_offset") + F.col("_before") + F.col("_no")).alias("container_id")
     )
