@@ -22,7 +22,7 @@ _BLOCK_BYTES = WORDS * 8 + 48
 
 
 def _position(df: DataFrame) -> DataFrame:
-    return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return df.select("*", F.xxhash64(F.col("_metadata.file_path")).alias("__lx_file"), F.col("_metadata.row_index").alias("__lx_row"))
 
 
 def _assert_distinct_files(df: DataFrame) -> None:
@@ -37,29 +37,29 @@ def _bit(row: Column) -> Column:
 
 
 def deletion_vectors(table: DataFrame, *, message: list[Column], counted: Column, order: Column) -> DataFrame:
-    """(_file, _block, bits): for each block that loses rows, 64 longs whose set bits are the rows to drop.
+    """(__lx_file, __lx_block, __lx_vector): for each block that loses rows, 64 longs whose set bits are the rows to drop.
 
     ``message`` are the columns naming a message (null equals null), ``counted`` says which rows are messages, ``order``
     (not null; a struct for several criteria) is the order whose lowest value wins. Rows that tie in it are equally good:
     one wins, which one is fixed when the vectors are written. ``table`` must be a Parquet scan (row positions come from its metadata).
     """
-    keys = [c.alias(f"_k{i}") for i, c in enumerate(message)]
-    narrow = _position(table).filter(counted).select(*keys, order.alias("_order"), "_file", "_row")
-    names = [f"_k{i}" for i in range(len(keys))]
-    winners = narrow.groupBy(*names).agg(F.min_by("_file", "_order").alias("_file"), F.min_by("_row", "_order").alias("_row"))
-    word = (F.col("_row") / 64).cast("bigint").alias("_word")
-    all_bits = _position(table).filter(counted).select("_file", word, _bit(F.col("_row")).alias("_all")).groupBy("_file", "_word").agg(F.bit_or("_all").alias("_all"))
-    won_bits = winners.select("_file", word, _bit(F.col("_row")).alias("_won")).groupBy("_file", "_word").agg(F.bit_or("_won").alias("_won"))
-    dropped = all_bits.join(won_bits, ["_file", "_word"], "left").select("_file", "_word", F.col("_all").bitwiseAND(F.bitwise_not(F.coalesce("_won", F.lit(0).cast("bigint")))).alias("_bits")).filter("_bits != 0")
-    blocks = dropped.groupBy("_file", (F.col("_word") / WORDS).cast("bigint").alias("_block")).agg(
-        F.map_from_entries(F.collect_list(F.struct((F.col("_word") % WORDS).cast("int").alias("w"), F.col("_bits").alias("b")))).alias("_m")
+    keys = [c.alias(f"__lx_k{i}") for i, c in enumerate(message)]
+    narrow = _position(table).filter(counted).select(*keys, order.alias("__lx_order"), "__lx_file", "__lx_row")
+    names = [f"__lx_k{i}" for i in range(len(keys))]
+    winners = narrow.groupBy(*names).agg(F.min_by("__lx_file", "__lx_order").alias("__lx_file"), F.min_by("__lx_row", "__lx_order").alias("__lx_row"))
+    word = (F.col("__lx_row") / 64).cast("bigint").alias("__lx_word")
+    all_bits = _position(table).filter(counted).select("__lx_file", word, _bit(F.col("__lx_row")).alias("__lx_all")).groupBy("__lx_file", "__lx_word").agg(F.bit_or("__lx_all").alias("__lx_all"))
+    won_bits = winners.select("__lx_file", word, _bit(F.col("__lx_row")).alias("__lx_won")).groupBy("__lx_file", "__lx_word").agg(F.bit_or("__lx_won").alias("__lx_won"))
+    dropped = all_bits.join(won_bits, ["__lx_file", "__lx_word"], "left").select("__lx_file", "__lx_word", F.col("__lx_all").bitwiseAND(F.bitwise_not(F.coalesce("__lx_won", F.lit(0).cast("bigint")))).alias("__lx_bits")).filter("__lx_bits != 0")
+    blocks = dropped.groupBy("__lx_file", (F.col("__lx_word") / WORDS).cast("bigint").alias("__lx_block")).agg(
+        F.map_from_entries(F.collect_list(F.struct((F.col("__lx_word") % WORDS).cast("int").alias("w"), F.col("__lx_bits").alias("b")))).alias("__lx_m")
     )  # a block has at most 64 words
-    dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.try_element_at(F.col("_m"), w), F.lit(0).cast("bigint")))
-    return blocks.select("_file", "_block", dense.alias("bits"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda w: F.coalesce(F.try_element_at(F.col("__lx_m"), w), F.lit(0).cast("bigint")))
+    return blocks.select("__lx_file", "__lx_block", dense.alias("__lx_vector"))
 
 
 def with_deletions(table: DataFrame, vectors: DataFrame, columns: list[Column | str] | None = None, *, limit_bytes: int = VECTOR_BYTES) -> DataFrame:
-    """``table``'s columns plus ``_deleted``, read without a shuffle.
+    """``table``'s columns plus ``__lx_deleted``, read without a shuffle.
 
     The vectors are broadcast if their counted size is within ``limit_bytes``; else the files are split into groups
     whose vectors are, each group is scanned for itself (the predicate on the file path prunes its other files), and
@@ -67,7 +67,7 @@ def with_deletions(table: DataFrame, vectors: DataFrame, columns: list[Column |
     """
     size = vectors.count() * _BLOCK_BYTES
     groups = max(1, -(-size // limit_bytes))
-    picked = table.columns if columns is None else columns
+    picked = [F.col(f"`{c}`") for c in table.columns] if columns is None else columns
     # the position rides along under names that the payload cannot have
     base = _position(table)
     parts = []
@@ -75,13 +75,13 @@ def with_deletions(table: DataFrame, vectors: DataFrame, columns: list[Column |
         rows, own = base, vectors
         if groups > 1:
             rows = rows.filter(F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(groups)) == g)
-            own = own.filter(F.pmod(F.col("_file"), F.lit(groups)) == g)
-        rows = rows.select(*picked, "_file", "_row", (F.col("_row") / (64 * WORDS)).cast("bigint").alias("_block"))
-        own = F.broadcast(own.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), "bits"))
-        joined = rows.join(own, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")), "left")
-        at = ((F.col("_row") / 64).cast("bigint") % WORDS).cast("int")
-        hit = F.col("bits").isNotNull() & (F.get(F.col("bits"), at).bitwiseAND(_bit(F.col("_row"))) != 0)
-        parts.append(joined.withColumn("_deleted", F.coalesce(hit, F.lit(False))).drop("_file", "_row", "_block", "_f", "_b", "bits"))
+            own = own.filter(F.pmod(F.col("__lx_file"), F.lit(groups)) == g)
+        rows = rows.select(*picked, "__lx_file", "__lx_row", (F.col("__lx_row") / (64 * WORDS)).cast("bigint").alias("__lx_block"))
+        own = F.broadcast(own.select(F.col("__lx_file").alias("__lx_f"), F.col("__lx_block").alias("__lx_b"), "__lx_vector"))
+        joined = rows.join(own, (F.col("__lx_file") == F.col("__lx_f")) & (F.col("__lx_block") == F.col("__lx_b")), "left")
+        at = ((F.col("__lx_row") / 64).cast("bigint") % WORDS).cast("int")
+        hit = F.col("__lx_vector").isNotNull() & (F.get(F.col("__lx_vector"), at).bitwiseAND(_bit(F.col("__lx_row"))) != 0)
+        parts.append(joined.withColumn("__lx_deleted", F.coalesce(hit, F.lit(False))).drop("__lx_file", "__lx_row", "__lx_block", "__lx_f", "__lx_b", "__lx_vector"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
@@ -114,14 +114,14 @@ def newest_rows(table: DataFrame, *, key: Column, counted: Column, revision: Col
     _assert_distinct_files(table)
     order = F.struct((-revision).alias("newest"), *arrival)
     vectors = materialize(deletion_vectors(table, message=[key], counted=counted, order=order), "deletions")
-    return with_deletions(table.filter(counted), vectors).filter("not _deleted").drop("_deleted")
+    return with_deletions(table.filter(counted), vectors).filter("not __lx_deleted").drop("__lx_deleted")
 
 
 def distinct_messages(table: DataFrame) -> DataFrame:
     """The full rows of ``table``, exactly one for each message; rows that are no messages are left out."""
-    return with_deletions(table.filter(article_message()), article_deletion_vectors(table)).filter("not _deleted").drop("_deleted")
+    return with_deletions(table.filter(article_message()), article_deletion_vectors(table)).filter("not __lx_deleted").drop("__lx_deleted")
 
 
 def repeated_messages(table: DataFrame) -> DataFrame:
     """(source_sequence): every row of a message but the one with its lowest source_sequence."""
-    return with_deletions(table, article_deletion_vectors(table), ["source_sequence"]).filter("_deleted").select("source_sequence")
+    return with_deletions(table, article_deletion_vectors(table), ["source_sequence"]).filter("__lx_deleted").select("source_sequence")

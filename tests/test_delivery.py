@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lexforge.functions.times import iso_instant
 from lexforge.operators import delivery
 
-SCHEMA = "source_sequence bigint, identifier bigint, version struct<identifier:bigint>, date_modified string, body string, _deleted_note string"
+SCHEMA = "source_sequence bigint, identifier bigint, version struct<identifier:bigint>, date_modified string, body string, _file string"
 
 
 def _table(spark, path, rows, files=3):
@@ -52,7 +52,15 @@ def test_vectors_beyond_the_broadcast_bound_are_applied_by_file_group(spark, tmp
     one = delivery.with_deletions(t, vectors, ["source_sequence"])
     many = delivery.with_deletions(t, vectors, ["source_sequence"], limit_bytes=1200)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
-    assert many.filter("_deleted").count() == 12_000 - 50
+    assert many.filter("__lx_deleted").count() == 12_000 - 50
+
+
+def test_columns_named_like_helpers(spark, tmp_path):
+    schema = "source_sequence bigint, identifier bigint, version struct<identifier:bigint>, date_modified string, _row bigint, _deleted boolean, bits string, `_metadata_note` string, `a.b` int"
+    spark.createDataFrame([(i, 1, (1,), None, 5, True, "x", "y", 1) for i in range(9)], schema).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    kept = delivery.distinct_messages(t)
+    assert kept.columns == t.columns and [r["source_sequence"] for r in kept.collect()] == [0]
 
 
 def test_empty_and_single(spark, tmp_path):
