@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.session import broadcast_if_small, materialize
+
 #: Codes per width class of the dictionary format (fixed value).
 MAX_PER_WIDTH = 8192
 
@@ -79,10 +81,11 @@ def overflow(plan: DataFrame) -> DataFrame:
 
 def unrepresentable_examples(texts: DataFrame, key: str, column: str, *, examples: int = 5) -> DataFrame:
     """(ch, n, examples): unrepresentable characters by frequency, each with the first keys that hold it."""
-    each = texts.select(F.col(key).alias("k"), F.explode(F.split(F.col(column), "")).alias("ch")).filter("ch != ''").groupBy("ch", "k").agg(F.count(F.lit(1)).alias("n"))
-    totals = each.groupBy("ch").agg(F.sum("n").alias("n"))
-    rare = classify(totals).filter("char_class != 'A'").select("ch", "n")
-    first = each.withColumn("_r", F.row_number().over(Window.partitionBy("ch").orderBy("k"))).filter(F.col("_r") <= examples)
+    each = texts.select(F.col(key).alias("k"), F.explode(F.split(F.col(column), "")).alias("ch")).filter("ch != ''")
+    rare = materialize(classify(each.groupBy("ch").agg(F.count(F.lit(1)).alias("n"))).filter("char_class != 'A'").select("ch", "n"), "rare")
+    held = each.join(broadcast_if_small(rare.select("ch")), "ch", "left_semi").distinct()
+    # the rank filter lets Spark keep the first few per character before the shuffle
+    first = held.withColumn("_r", F.row_number().over(Window.partitionBy("ch").orderBy("k"))).filter(F.col("_r") <= examples)
     kept = first.groupBy("ch").agg(F.sort_array(F.collect_list("k")).alias("examples"))
     return rare.join(kept, "ch")
 

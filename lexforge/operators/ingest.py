@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -54,18 +55,36 @@ def latest_states(states: DataFrame, *, key: str, revision: str, arrival: list[s
     return states.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rn = 1").drop("_rn")
 
 
+#: Arrival ranges that the rows of one key are spread over.
+RANGES = 64
+
+
+def _arrival_range(states: DataFrame, column: str) -> Column:
+    """Number of the arrival range of a row; the bounds are quantiles of the whole table (RANGES - 1 numbers on the driver)."""
+    at = F.col(column).cast("double")
+    cuts = states.select(at.alias("a")).agg(F.percentile_approx("a", [i / RANGES for i in range(1, RANGES)], 1000).alias("q")).first()["q"] or []
+    passed = [F.when(at > c, 1).otherwise(0) for c in sorted(set(cuts))]
+    return sum(passed[1:], passed[0]) if passed else F.lit(0)
+
+
 def dedup_audit(states: DataFrame, *, key: str, revision: str, content_hash: str, arrival: list[str]) -> DataFrame:
     """One row for each arrival of a key after its first.
 
-    The state before an arrival is the running maximum of (revision, earliest arrival), so reason and both revisions
-    follow without a fold. Columns: key, kept_revision_id, dropped_revision_id, kept_hash, dropped_hash, reason and the arrival.
+    The state before an arrival is the running minimum of (-revision, arrival, hash), so reason and both revisions follow
+    without a fold. Columns: key, kept_revision_id, dropped_revision_id, kept_hash, dropped_hash, reason and the arrival.
+    The first arrival column is a number. The rows of a key are spread over ranges of it: each range is folded for
+    itself, the ranges' results (at most RANGES per key) are folded in turn and handed down, so no task gets all rows of
+    a hot key. Null revisions and null keys are left out.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*arrival))
-    ranked = states.withColumn("_at", rank)
-    before = Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.max(F.struct(F.col(revision).alias("r"), (-F.col("_at")).alias("a"), F.col(content_hash).alias("h"))).over(before)
-    seen = ranked.withColumn("_s", state).filter("_s is not null")
-    new, old = F.col(revision), F.col("_s.r")
+    sound = states.filter(F.col(key).isNotNull() & F.col(revision).isNotNull())
+    state = F.struct((-F.col(revision)).alias("r"), *[F.col(c).alias(f"a{i}") for i, c in enumerate(arrival)], F.col(content_hash).alias("h"))
+    ranged = sound.select(key, revision, content_hash, *[c for c in arrival if c not in (key, revision, content_hash)], state.alias("_state"), _arrival_range(sound, arrival[0]).alias("_range"))
+    inside = Window.partitionBy(key, "_range").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ranged.groupBy(key, "_range").agg(F.min("_state").alias("_m")).select(key, "_range", F.min("_m").over(across).alias("_before"))
+    joined = ranged.withColumn("_own", F.min("_state").over(inside)).join(handed, [key, "_range"])
+    seen = joined.withColumn("_s", F.least("_own", "_before")).filter("_s is not null")
+    new, old = F.col(revision), -F.col("_s.r")
     reason = F.when(new > old, "newer_revision_replaced_older").when(new < old, "out_of_order_older_revision_dropped").when(F.col(content_hash) == F.col("_s.h"), "identical_duplicate_delivery").otherwise("same_revision_conflicting_hash")
     wins = new > old
     return seen.select(
@@ -78,30 +97,37 @@ def fold_states(states: DataFrame, *, key: str = "page_id", revision: str = "rev
     """(key, revision, hash, status, arrivals): final state per key when invalid records may interfere.
 
     A newer but invalid record overwrites the accepted row as rejected, and what comes after it counts as first seen.
-    Only keys that have both an invalid and another record need that fold; it runs over narrow rows in arrival order,
-    and all other keys take the window form.
+    Only keys that have both an invalid and another record need that fold; their narrow rows are sorted by key and
+    arrival and folded as they stream by, with one state in memory, never a group. All other keys are aggregated on the
+    map side. Null keys and revisions are left out.
     """
-    narrow = states.select(F.col(key).alias("k"), F.col(revision).alias("r"), F.col(content_hash).alias("h"), F.coalesce(F.col(valid), F.lit(False)).alias("v"), F.struct(*arrival).alias("a"))
-    mixed = narrow.groupBy("k").agg((F.count_if(~F.col("v")) > 0).alias("odd"), (F.count(F.lit(1)) > 1).alias("many"))
-    tagged = narrow.join(mixed, "k")
-    ranked = tagged.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy("a")))
-    plain = ranked.filter("not (odd and many)").withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.desc_nulls_last("r"), "p"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")))
-    simple = plain.filter("rn = 1").select(F.col("k").alias(key), F.col("r").alias(revision), F.col("h").alias(content_hash), F.when(F.col("v"), "accepted").otherwise("rejected").alias("status"), F.col("n").alias("arrivals"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        row, accepted = None, None
-        for x in pdf.sort_values("p").itertuples():
-            if not x.v:
-                if accepted is None or x.r > accepted.r:
-                    row, accepted = x, None
-            elif accepted is None or x.r > accepted.r:
-                row = accepted = x
-        return pd.DataFrame([(row.k, row.r, row.h, "accepted" if accepted is not None else "rejected", len(pdf))], columns=[key, revision, content_hash, "status", "arrivals"])
+    narrow = states.select(F.col(key).alias("k"), F.col(revision).alias("r"), F.col(content_hash).alias("h"), F.coalesce(F.col(valid), F.lit(False)).alias("v"), F.struct(*arrival).alias("a")).filter("k is not null and r is not null")
+    best = F.min(F.struct((-F.col("r")).alias("r"), "a", "h", "v"))
+    keys = narrow.groupBy("k").agg((F.count_if(~F.col("v")) > 0).alias("odd"), F.count(F.lit(1)).alias("n"), best.alias("b"))
+    simple = keys.filter("not (odd and n > 1)").select(F.col("k").alias(key), (-F.col("b.r")).alias(revision), F.col("b.h").alias(content_hash), F.when(F.col("b.v"), "accepted").otherwise("rejected").alias("status"), F.col("n").alias("arrivals"))
+    mixed = narrow.join(keys.filter("odd and n > 1").select("k"), "k", "left_semi").repartition("k").sortWithinPartitions("k", "a").select("k", "r", "h", "v")
+    columns = [key, revision, content_hash, "status", "arrivals"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, row, accepted, n = None, None, None, 0
+        for pdf in batches:
+            done = []
+            for k, r, h, v in pdf.itertuples(index=False):
+                if at is None or k != at:
+                    if at is not None:
+                        done.append((at, *row, "accepted" if accepted is not None else "rejected", n))
+                    at, row, accepted, n = k, None, None, 0
+                n += 1
+                if accepted is None or r > accepted:
+                    row, accepted = (r, h), r if v else None
+            if done:
+                yield pd.DataFrame(done, columns=columns)
+        if at is not None:
+            yield pd.DataFrame([(at, *row, "accepted" if accepted is not None else "rejected", n)], columns=columns)
 
     kinds = dict(states.dtypes)
     schema = f"`{key}` {kinds[key]}, `{revision}` {kinds[revision]}, `{content_hash}` {kinds[content_hash]}, status string, arrivals bigint"
-    odd = ranked.filter("odd and many").select("k", "r", "h", "v", "p").groupBy("k").applyInPandas(fold, schema)
-    return simple.unionByName(odd)
+    return simple.unionByName(mixed.mapInPandas(fold, schema))
 
 
 def explode_children(articles: DataFrame, field: str, *, page: str = "identifier", key: Key = nfkc_title) -> DataFrame:
