@@ -19,19 +19,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lexforge.functions.times import utc_month
+from lexforge.functions.times import month_text, utc_month_number
 from lexforge.operators.skew import attach
 from lexforge.session import materialize
 
 #: Most bits of the filter (32 MB). With more keys than fit, more references go to the exact join; the result is the same.
 MAX_BITS = 1 << 28
 PROBES = 5
-#: A month after every real one.
-NEVER = "9999-99"
+#: A month number after every real one.
+NEVER = 2**31 - 1
+# Blanks that do not count at the ends of a link title.
+BLANKS = " \t\n\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def presence_intervals(entries: DataFrame, *, tag: str = "tag", at: str = "rendered_at", deleted: str = "is_deleted") -> DataFrame:
-    """(tag, month_from, month_to): half-open month ranges in which the last row of ``tag`` so far is no deletion.
+    """(tag, month_from, month_to): half-open ranges of month numbers in which the last row of ``tag`` so far is no deletion.
 
     Of rows rendered at one instant a deletion counts as the later one; a null ``deleted`` is no deletion; rows without
     tag or instant have no effect.
@@ -40,7 +42,7 @@ def presence_intervals(entries: DataFrame, *, tag: str = "tag", at: str = "rende
     moment = F.unix_micros(F.col(at)) * 2 + is_deleted.cast("int")
     monthly = (
         entries.filter(F.col(tag).isNotNull() & F.col(at).isNotNull())
-        .select(F.col(tag).alias("tag"), utc_month(F.col(at)).alias("month_from"), moment.alias("_moment"), is_deleted.alias("_deleted"))
+        .select(F.col(tag).alias("tag"), utc_month_number(F.col(at)).alias("month_from"), moment.alias("_moment"), is_deleted.alias("_deleted"))
         .groupBy("tag", "month_from")
         .agg(F.max_by("_deleted", "_moment").alias("_deleted"))
     )
@@ -56,7 +58,7 @@ def entry_names(entries: DataFrame) -> DataFrame:
 
 def link_key(title: Column) -> Column:
     """A link title as a lookup key: underscores are blanks, blanks at the ends (of any kind) do not count."""
-    return F.regexp_replace(F.regexp_replace(title, "_", " "), r"(?U)^[\s\x{00A0}\x{2007}\x{202F}\x{3000}]+|[\s\x{00A0}\x{2007}\x{202F}\x{3000}]+$", "")
+    return F.btrim(F.translate(title, "_", " "), F.lit(BLANKS))
 
 
 def references(entries: DataFrame, links: DataFrame) -> DataFrame:
@@ -65,10 +67,10 @@ def references(entries: DataFrame, links: DataFrame) -> DataFrame:
         entries.filter("not coalesce(is_deleted, false)")
         .select("page_id", "rendered_at", F.explode("internal_targets").alias("target"))
         .filter("target is not null and target != ''")
-        .select(F.lit("entries").alias("table_name"), F.col("page_id").alias("source_page_id"), "target", utc_month(F.col("rendered_at")).alias("ref_month"), F.col("target").alias("key"))
+        .select(F.lit("entries").alias("table_name"), F.col("page_id").alias("source_page_id"), "target", utc_month_number(F.col("rendered_at")).alias("ref_month"), F.col("target").alias("key"))
     )
     outer = links.filter("title is not null and namespace is null").select(
-        F.lit("links").alias("table_name"), "source_page_id", F.col("title").alias("target"), utc_month(F.col("parsed_at")).alias("ref_month"), link_key(F.col("title")).alias("key")
+        F.lit("links").alias("table_name"), "source_page_id", F.col("title").alias("target"), utc_month_number(F.col("parsed_at")).alias("ref_month"), link_key(F.col("title")).alias("key")
     )
     return inner.unionByName(outer).distinct()
 
@@ -146,7 +148,7 @@ def orphan_references(entries: DataFrame, links: DataFrame, *, max_bits: int = M
     total = verdicts.agg(F.sum("n")).first()[0] or 0
     verified = attach(doubtful, verdicts, on, weight="n", total=total).filter("there is null")
     columns = ["table_name", "source_page_id", "target", "ref_month"]
-    return definite.select(*columns).unionByName(verified.select(*columns)).withColumn("ref_month", F.nullif(F.col("ref_month"), F.lit(NEVER)))
+    return definite.select(*columns).unionByName(verified.select(*columns)).withColumn("ref_month", F.when(F.col("ref_month") != NEVER, month_text(F.col("ref_month"))))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
