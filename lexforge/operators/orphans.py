@@ -3,8 +3,8 @@
 1. Parent presence: the last state per (tag, month) gives half-open month intervals in which a key exists.
 2. A Bloom filter over all parent keys, built by a distributed bit_or and bounded in bits, proves most orphans at once.
 3. Only filter-positive references, reduced to distinct (key, month), are verified by an exact equi-join with the
-   intervals; the verdicts return by a join in which hot keys (at most a fixed number) are broadcast, so a title that a
-   third of all references name is not moved at all.
+   intervals. The keys found missing return to the references by a broadcast if a count shows them few, else by a join
+   in which hot keys (at most a fixed number) are broadcast, so a title that a third of all references name never moves.
 4. Orphans are counted per table and month.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Window
 
 from lexforge.functions.times import month_text, utc_month_number
 from lexforge.operators.skew import attach
-from lexforge.session import materialize
+from lexforge.session import BROADCAST_ROWS, materialize
 
 #: Most bits of the filter (32 MB). With more keys than fit, more references go to the exact join; the result is the same.
 MAX_BITS = 1 << 28
@@ -62,7 +62,7 @@ def link_key(title: Column) -> Column:
 
 
 def references(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """Distinct (table_name, source_page_id, target, ref_month, key) of both reference columns."""
+    """(table_name, source_page_id, target, ref_month, key) of both reference columns, as often as they occur."""
     inner = (
         entries.filter("not coalesce(is_deleted, false)")
         .select("page_id", "rendered_at", F.explode("internal_targets").alias("target"))
@@ -72,7 +72,7 @@ def references(entries: DataFrame, links: DataFrame) -> DataFrame:
     outer = links.filter("title is not null and namespace is null").select(
         F.lit("links").alias("table_name"), "source_page_id", F.col("title").alias("target"), utc_month_number(F.col("parsed_at")).alias("ref_month"), link_key(F.col("title")).alias("key")
     )
-    return inner.unionByName(outer).distinct()
+    return inner.unionByName(outer)
 
 
 def _hashes(*columns: Column) -> tuple[Column, Column]:
@@ -145,10 +145,16 @@ def orphan_references(entries: DataFrame, links: DataFrame, *, max_bits: int = M
     )
     on = ["table_name", "key", "ref_month"]
     verdicts = materialize(asked.join(there.select(*on, F.lit(True).alias("there")), on, "left"), "verdicts")
-    total = verdicts.agg(F.sum("n")).first()[0] or 0
-    verified = attach(doubtful, verdicts, on, weight="n", total=total).filter("there is null")
+    lost = verdicts.filter("there is null").select(*on)
+    if lost.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        verified = doubtful.join(F.broadcast(lost), on, "left_semi")
+    else:
+        total = verdicts.agg(F.sum("n")).first()[0] or 0
+        verified = attach(doubtful, verdicts, on, weight="n", total=total).filter("there is null")
     columns = ["table_name", "source_page_id", "target", "ref_month"]
-    return definite.select(*columns).unionByName(verified.select(*columns)).withColumn("ref_month", F.when(F.col("ref_month") != NEVER, month_text(F.col("ref_month"))))
+    # repeated references are removed only among the orphans, which are the few
+    found = definite.select(*columns).unionByName(verified.select(*columns)).distinct()
+    return found.withColumn("ref_month", F.when(F.col("ref_month") != NEVER, month_text(F.col("ref_month"))))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

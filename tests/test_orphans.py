@@ -1,7 +1,9 @@
 import random
 from datetime import datetime, timezone
 
-from lexforge.operators import orphans
+import pytest
+
+from lexforge.operators import orphans, skew
 
 E = "tag string, page_id bigint, title string, aliases array<string>, internal_targets array<string>, is_deleted boolean, rendered_at timestamp, key string"
 L = "source_page_id bigint, namespace string, title string, parsed_at timestamp, key string"
@@ -39,7 +41,10 @@ def _brute(entries, links):
     return out
 
 
-def test_against_brute_force_with_a_hot_title(spark):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_against_brute_force_with_a_hot_title(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(orphans, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(skew, "LEAST", 100)
     rng = random.Random(5)
     entries = []
     for i in range(300):
