@@ -9,7 +9,7 @@ from lexforge.functions import charset, strings, urls
 from lexforge.operators import html, links, render, search, wikitext
 from lexforge.plans import build
 from lexforge.plans.records_queries import LATEST_SQL, pages, sql_key, sql_strip
-from lexforge.session import table
+from lexforge.session import materialize, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -176,7 +176,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_key, mode ORDER BY t.p, t.
 
 
 def _run(spark, d) -> DataFrame:
-    return search.run_queries(_word_terms(spark, d), search.query_frame(spark, list(_SET), ("word", "endword", "cross")), max_results=50)
+    terms = materialize(_word_terms(spark, d), "terms")  # searches read stored terms
+    return search.run_queries(terms, search.query_frame(spark, list(_SET), ("word", "endword", "cross")), max_results=50)
 
 
 @query(f"WITH {_RUN} SELECT query_key, mode, rank, page_id, truncated FROM r WHERE rank <= 50")

@@ -44,6 +44,7 @@ def _brute(entries, links):
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_against_brute_force_with_a_hot_title(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(orphans, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(skew, "LEAST", 100)
     rng = random.Random(5)
     entries = []

@@ -1,9 +1,12 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lexforge.operators import skew
 
 
-def test_attach_is_a_left_join(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_attach_is_a_left_join(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(skew, "LEAST", 50)
     rows = [("hot", i) for i in range(500)] + [("hotmiss", i) for i in range(200)] + [(f"k{i}", i) for i in range(100)] + [(None, i) for i in range(30)]
     df = spark.createDataFrame(rows, "k string, i int")
