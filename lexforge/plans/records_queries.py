@@ -121,12 +121,12 @@ SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS ord
 
 
 @query(_children("redirects", "r"))
-def p02_redirects(spark, d):
+def proj02_redirects(spark, d):
     return ingest.explode_children(pages(spark, d), "redirects", page="page_id", key=strings.strip)
 
 
 @query(_children("categories", "c"))
-def p02_categories(spark, d):
+def proj02_categories(spark, d):
     return ingest.explode_children(pages(spark, d), "categories", page="page_id", key=strings.strip)
 
 
@@ -134,7 +134,7 @@ _LICENSE = f"WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(range(len(license))
 
 
 @query(f"{_LICENSE} SELECT l.identifier AS identifier, l.url AS url, arg_min(l.name, (page_id, pos)) AS name FROM e GROUP BY 1, 2")
-def p03_license_dimension(spark, d):
+def proj03_license_dimension(spark, d):
     return ingest.licenses(pages(spark, d).withColumn("at", F.col("page_id")), page="page_id", arrival="at")[0]
 
 
@@ -188,7 +188,7 @@ def f03_inconsistent_links(spark, d):
 q AS (SELECT *, CASE WHEN starts_with(u, './') THEN u[3:] WHEN starts_with(u, '/wiki/') THEN u[7:] END AS p FROM e), r AS (SELECT *, split_part(p, '?', 1) AS p2 FROM q WHERE p IS NOT NULL),
 t AS (SELECT *, {sql_strip("replace(url_decode(replace(split_part(p2, '#', 1), '+', '%2B')), '_', ' ')")} AS title0, CASE WHEN contains(p2, '#') THEN nullif(url_decode(regexp_extract(p2, '^[^#]*#(.*)$', 1)), '') END AS fragment FROM r)
 SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS ordinal, title0 AS title, fragment FROM t WHERE title0 <> ''""")
-def p06_extracted_links(spark, d):
+def proj06_extracted_links(spark, d):
     found = links.extract_links(pages(spark, d), page="page_id", html="html")
     whole = F.when(F.col("namespace").isNotNull(), F.concat("namespace", F.lit(":"), "title")).otherwise(F.col("title"))
     return found.select("page_id", "ordinal", whole.alias("title"), "fragment")

@@ -305,7 +305,7 @@ def x26_escaped_titles(spark, d):
 
 
 @query("SELECT doc_id, coalesce(strlen(text), 0) AS size FROM documents")
-def p12_estimated_sizes(spark, d):
+def proj12_estimated_sizes(spark, d):
     return table(spark, d, "documents").select("doc_id", F.coalesce(render.estimated_size(F.col("text")), F.lit(0)).alias("size"))
 
 
@@ -360,13 +360,13 @@ def _records(spark, d) -> DataFrame:
 
 
 @query()
-def p08_entries(spark, d):
+def proj08_entries(spark, d):
     raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
     made = build.run_generate(raw, build.run_normalize(raw))
     return made.entries
 
 
 @query()
-def p13_entry_issues(spark, d):
+def proj13_entry_issues(spark, d):
     raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
     return build.run_generate(raw, build.run_normalize(raw)).issues
