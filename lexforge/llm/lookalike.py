@@ -219,7 +219,8 @@ def lookalike_pairs(keyed: DataFrame, key: str, text: str) -> DataFrame:
 
     Copies are removed before the search runs, and only forms written in at least two ways are joined, different
     spelling against different spelling; texts that are equal never meet. A spelling that many keys share is spread by
-    salting the larger side of the join.
+    salting one side of the join. Rows with a null key or text are left out; a text that shows nothing has the empty
+    form and pairs with every other such text that is written differently; repeated rows count once.
     """
     texts = keyed.filter(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
     # the forms are read three times; they are searched once and written
