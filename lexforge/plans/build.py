@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.strings import Key, index_key, nfkc_title
 from lexforge.functions.times import iso_instant, utc_wall
+from lexforge.functions.urls import base_url
 from lexforge.operators import delivery, html, ingest, links, media, render, search, verify
 from lexforge.session import materialize
 
@@ -76,8 +77,8 @@ def run_ingest(records: DataFrame, *, arrival: list[str], limits: ingest.Limits
 
 def run_normalize(raw: Raw, *, options: html.Options = html.Options(), key: Key = nfkc_title) -> Model:
     """Document model of the accepted articles, with links resolved against titles and redirects."""
-    bodies = raw.articles.select(F.col("identifier").alias("page_id"), F.col("article_body.html").alias("html"))
-    parsed = materialize(html.normalize_bodies(bodies, key=["page_id"], html="html", options=options), "model")
+    bodies = raw.articles.select(F.col("identifier").alias("page_id"), F.col("article_body.html").alias("html"), "url")
+    parsed = materialize(html.normalize_bodies(bodies, key=["page_id"], html="html", base=base_url(F.col("url")), options=options), "model")
     found = parsed.select(F.col("page_id").alias("source_page_id"), F.posexplode("links").alias("ordinal", "l")).select("source_page_id", "ordinal", "l.namespace", "l.title", "l.fragment")
     titles = raw.articles.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"))
     hops = raw.redirects.select(F.col("identifier").alias("target_page_id"), F.col("name").alias("title"))
