@@ -85,7 +85,7 @@ def run_normalize(raw: Raw, *, options: html.Options = html.Options(), key: Key
     resolved = links.resolve(found, titles, hops, key=key)
     pictures = parsed.select("page_id", F.posexplode("media").alias("ordinal", "m")).select("page_id", "ordinal", "m.*")
     problems = parsed.select("page_id", F.explode("problems").alias("p")).select("page_id", "p.code", "p.element")
-    slim = parsed.select("page_id", F.col("status").alias("normalize_status"), "abstract", "body_json", "headings", "infobox_values", "lead_bold", F.size("blocks").alias("block_count"))
+    slim = parsed.select("page_id", F.col("status").alias("normalize_status"), "abstract", "lead", "body_json", "headings", "infobox_values", "lead_bold", F.size("blocks").alias("block_count"))
     return Model(slim, resolved, html.selected_media(pictures), problems)
 
 

@@ -146,7 +146,7 @@ def test_build_pipeline(spark, tmp_path):
     body = "<p><b>Orb</b> is near <a href='./Nem'>Nem</a> and <a href='./Old_Nem'>it</a>.</p><h2>History</h2><ul><li>a</li></ul>"
     base = {"url": "https://w.example/wiki/X", "namespace": (0,), "date_modified": "2027-01-02T00:00:00Z", "image": None, "templates": None}
     rows = [
-        (1, "Orb (film)", (2,), (body, None), [], [("Cat", "")], [("L1", "Name", "u")], "h1", 1), (1, "Orb", (1,), ("<p>old</p>", None), [], [], [], "h0", 2), (2, "Nem", (1,), (None, "w"), [("Old Nem", "")], None, None, "h2", 3), (3, "", (1,), (None, None), None, None, None, "h3", 4),
+        (5, "東京", (1,), ("<p><b>東京</b>（とうきょう、英: T）は</p>", None), [], [], [], "h5", 5), (1, "Orb (film)", (2,), (body, None), [], [("Cat", "")], [("L1", "Name", "u")], "h1", 1), (1, "Orb", (1,), ("<p>old</p>", None), [], [], [], "h0", 2), (2, "Nem", (1,), (None, "w"), [("Old Nem", "")], None, None, "h2", 3), (3, "", (1,), (None, None), None, None, None, "h3", 4),
     ]
     schema = "identifier bigint, name string, version struct<identifier:bigint>, article_body struct<html:string,wikitext:string>, redirects array<struct<name:string,url:string>>, categories array<struct<name:string,url:string>>, license array<struct<identifier:string,name:string,url:string>>, source_hash string, source_sequence bigint"
     df = spark.createDataFrame(rows, schema).withColumns({"url": F.lit(base["url"]), "namespace": F.struct(F.lit(0).cast("bigint").alias("identifier")), "date_modified": F.lit(base["date_modified"]), "image": F.lit(None).cast("struct<content_url:string,url:string,width:bigint,height:bigint>")})
@@ -154,11 +154,12 @@ def test_build_pipeline(spark, tmp_path):
     entries = {r["page_id"]: r for r in made.entries.collect()}
     assert entries[1]["targets"] == ["p2"] and "■ History" in entries[1]["body"] and "・ a" in entries[1]["body"] and entries[1]["body"].endswith("出典情報\nL1")
     assert "Orb" in entries[1]["aliases"] and entries[1]["keywords"] == ["History"] and entries[2]["aliases"][0] == "Old Nem"
+    assert entries[5]["heading"] == "東京〔とうきょう〕" and entries[1]["heading"] == "Orb (film)"
     assert made.issues.filter("code != 'EMPTY_TITLE'").count() == 0
     assert spark.read.json(str(tmp_path / "out/entries")).count() == len(entries)
     df.write.parquet(str(tmp_path / "in"))
     scan = spark.read.parquet(str(tmp_path / "in"))
     a, b = build.run_ingest(scan, arrival=["source_sequence"]), build.run_ingest(scan, arrival=["source_sequence"], positions=True)
     pick = lambda raw: sorted((r["identifier"], r["source_sequence"]) for r in raw.articles.collect())
-    assert pick(a) == pick(b) == [(1, 1), (2, 3)] or pick(a) == pick(b)
+    assert pick(a) == pick(b) != []
     assert b.articles.columns == a.articles.columns
