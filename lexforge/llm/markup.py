@@ -15,7 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.session import broadcast_if_small, materialize
@@ -205,7 +205,6 @@ class _Body:
         g = m.groupdict()
         if g["drop"] is not None:
             what = m[0]
-            self.count(f"{self.container}/{(g['h'] or g['e'] or what[:2]).lower()}", what)
             return "" if what[:2] == "<!" or what[:4].lower() in ("<ref", "<sup", "<spa") or what[0] in "\\[" else "\n\n"
         if g["pre"] is not None:
             return self.code(html.unescape(_CODE_TAG.sub("", g["pre"])))
@@ -344,7 +343,6 @@ class _Body:
                 before = "p"
                 continue
             if (c := bare[0]) == "|" and bare.count("|") > 1:
-                self.count(f"{self.container}/md-table", bare)
                 before = "table"
                 continue
             heading = item = None
@@ -409,7 +407,7 @@ def clean_text(body: str | None) -> str | None:
     return None if body is None else "\n".join(x for x in (line.strip() for line in parse(body).lines) if x)
 
 
-#: Share of the corpus-wide path score below which a container holds no content, and the weight of a path's parent in smoothing.
+#: Share of the score of the corpus's median prose node below which a container holds no content, and the weight of a path's parent in smoothing.
 THRESHOLD = 0.1
 PARENT_WEIGHT = 0.5
 
@@ -443,17 +441,24 @@ def path_scores(parsed: DataFrame) -> DataFrame:
     """(container, score, is_content): tag-path ratios of the whole corpus, smoothed and fused per container path.
 
     The text ratio (characters per node) and punctuation ratio (marks per node) of a path are fused by their product,
-    smoothed with the parent's, and a container's score is the best of the paths in it, relative to the best of all.
+    smoothed with the parent's, and a container's score is the best of the paths in it. It holds content if that is not
+    far below the score of prose: the median over all prose nodes of the corpus, so that no container counts for more
+    than the nodes it has. Regions that are not shown have no paths.
     """
     leaf = parsed.select(F.explode("paths").alias("p")).groupBy("p.path").agg(F.sum("p.chars").alias("chars"), F.sum("p.marks").alias("marks"), F.sum("p.nodes").alias("nodes"))
     ratio = leaf.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("container"), (F.col("chars") / F.col("nodes")).alias("tpr"), (F.col("marks") / F.col("nodes")).alias("ppr"), "nodes")
     parent = ratio.groupBy("container").agg((F.sum(F.col("tpr") * F.col("nodes")) / F.sum("nodes")).alias("ptpr"), (F.sum(F.col("ppr") * F.col("nodes")) / F.sum("nodes")).alias("pppr"))
     smooth = ratio.join(parent, "container").select(
-        "container", ((F.col("tpr") * (1 - PARENT_WEIGHT) + F.col("ptpr") * PARENT_WEIGHT) * (F.col("ppr") * (1 - PARENT_WEIGHT) + F.col("pppr") * PARENT_WEIGHT)).alias("fused")
-    )
+        "container", ((F.col("tpr") * (1 - PARENT_WEIGHT) + F.col("ptpr") * PARENT_WEIGHT) * (F.col("ppr") * (1 - PARENT_WEIGHT) + F.col("pppr") * PARENT_WEIGHT)).alias("fused"),
+        F.col("path").rlike("/(p|dl)$").alias("prose"), "nodes",
+    )
     scored = smooth.groupBy("container").agg(F.max("fused").alias("score"))
-    top = scored.agg(F.max("score")).first()[0] or 0.0
-    return scored.select("container", "score", (F.col("score") >= top * THRESHOLD).alias("is_content"))
+    # one row per score and kind of path, sorted in one task; a corpus without prose is compared with all of its paths
+    weights = smooth.groupBy("prose", "fused").agg(F.sum("nodes").alias("n"))
+    ranked = weights.select("prose", "fused", F.sum("n").over(Window.partitionBy("prose").orderBy("fused")).alias("upto"), F.sum("n").over(Window.partitionBy("prose")).alias("all"))
+    medians = {r["prose"]: r["median"] for r in ranked.filter("upto * 2 >= all").groupBy("prose").agg(F.min("fused").alias("median")).collect()}
+    usual = medians.get(True, medians.get(False, 0.0))
+    return scored.select("container", "score", (F.col("score") >= usual * THRESHOLD).alias("is_content"))
 
 
 def structural_elements(bodies: DataFrame, body: str, keys: list[str]) -> DataFrame:

@@ -94,3 +94,26 @@ def test_paths_without_prose_score_low(spark):
     df = spark.createDataFrame([(i, "<p>A sentence, with marks; and words. It goes on, and on.</p>" * 5) for i in range(5)], "identifier bigint, body string")
     parsed = M.parse_bodies(df, "body", ["identifier"])
     assert all(r["is_content"] for r in M.path_scores(parsed).collect())
+
+
+ORDINARY = "<section><h2>H</h2><p>A sentence, with marks; and words. It goes on, and on.</p><ul><li>x</li></ul></section>"
+
+
+def test_one_outlier_container_drops_no_ordinary_ones(spark):
+    bodies = [ORDINARY] * 20 + ["<div class='x'><p>" + "a" * 4900 + "." * 100 + "</p></div>"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "identifier bigint, body string")
+    assert {r["container"] for r in M.path_scores(M.parse_bodies(df, "body", ["identifier"])).filter("is_content").collect()} == {"/body/section", "/body/div.x"}
+    got = sorted((r["identifier"], r["kind"]) for r in M.structural_elements(df, "body", ["identifier"]).collect())
+    assert got == [(i, kind) for i in range(20) for kind in ("heading", "list_item")]
+
+
+@pytest.mark.parametrize("region", ["<table><tr><td>{}</td></tr></table>", "<style>{}</style>", "<!-- {} -->", "\n| {} | b |\n"])
+def test_removed_regions_do_not_count(spark, region):
+    df = spark.createDataFrame([(i, region.format("a, b; c. " * 2000) + ORDINARY) for i in range(5)], "identifier bigint, body string")
+    assert [(r["container"], r["is_content"]) for r in M.path_scores(M.parse_bodies(df, "body", ["identifier"])).collect()] == [("/body/section", True)]
+    assert {(r["kind"], r["content"]) for r in M.structural_elements(df, "body", ["identifier"]).collect()} == {("heading", "H"), ("list_item", "x")}
+
+
+def test_a_corpus_without_prose_keeps_its_elements(spark):
+    df = spark.createDataFrame([(1, "<ul><li>a, b</li></ul>")], "identifier bigint, body string")
+    assert [r["content"] for r in M.structural_elements(df, "body", ["identifier"]).collect()] == ["a, b"]
