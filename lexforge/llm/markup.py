@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -100,27 +100,47 @@ _MD_STYLE = (
 _MD_ESCAPE = re.compile(r"\\([\\`*_{}\[\]()#+\-.!|<>~])")
 
 
-_PAIRED = [
-    *((re.compile(rf"<{t}\b[^<>]*>", re.I), f"</{t}") for t in ("script", "style", "table", "figure", "figcaption", "template", "noscript", "iframe", "svg", "gallery", "caption", "ref", "sup", "pre", "syntaxhighlight", "source", "nowiki", "math", "span", "h1", "h2", "h3", "h4", "h5", "h6")),
-    (re.compile(r"\\\["), "\\]"), (re.compile(r"\\\("), "\\)"), (re.compile(r"\\begin\{\w+\*?\}"), "\\end{"), (re.compile(r"^\{\|", re.M), "|}"),
-]
-#: Only texts longer than this are searched for openers that nothing closes; shorter ones cost nothing to scan again.
-LONG = 20_000
-
-
-def _without_dangling(text: str) -> str:
-    """``text`` without openers behind the last closer of their kind, each of which would be followed to the end in vain.
-
-    They mark nothing and are not shown, so the result is the same; only the time stays in proportion to the length.
-    """
-    lower = text.lower()
-    for opener, closer in _PAIRED:
-        last = lower.rfind(closer)
-        at = max(last, 0)
-        if opener.search(text, at):
-            text = text[:at] + opener.sub("", text[at:])
-            lower = text.lower()
-    return text
+# Where a pattern may begin, and the closers it would look for. A pattern is tried only where a closer of its kind follows,
+# so an opener that nothing closes is not searched to the end of the text, and the time stays in proportion to the length.
+_TAGS = "script|style|table|figure|figcaption|template|noscript|iframe|svg|gallery|caption|ref|sup|span|pre|syntaxhighlight|source|nowiki|math|h[1-6]"
+_ENVS = "table|tabular|figure|verbatim|lstlisting|minted|equation|align|gather|displaymath|math|multline|eqnarray"
+_START = re.compile(
+    rf"<(?P<tag>(?!h[1-6]){_TAGS})\b|\\begin\{{(?P<env>{_ENVS})\*?\}}|\\(?P<sign>[\[(])|^(?P<bar>\{{\|)|<!--|<img\b|\\footnote|\\caption|\[\^|\[\[|^(?:```|~~~)|[$`]|(?:(?<=\n\n)|\A)[ \t]",
+    re.M | re.I,
+)
+_HEADING_START = re.compile(r"<(?P<tag>h[1-6])\b", re.I)
+_CLOSER = re.compile(rf"</(?P<tag>{_TAGS})\s*>|\\end\{{(?P<env>{_ENVS})\*?\}}|\\(?P<sign>[\])])|^(?P<bar>\|\}})", re.M | re.I)
+_CLOSES = {"]": "[", ")": "(", "|}": "{|"}
+_REF = re.compile(r"<ref\b[^<>]*/>", re.I)
+
+
+def _kind(m: re.Match) -> tuple[str, str] | None:
+    """Which opener or closer matched; an opener and its closers have the same kind."""
+    what = m.lastgroup
+    return what and (what, _CLOSES.get(m[what], m[what].casefold()))
+
+
+def _sub_closed(pattern: re.Pattern, start: re.Pattern, to: Callable[[re.Match], str], text: str) -> str:
+    """``pattern.sub(to, text)`` for a pattern that matches only where ``start`` does, in time proportional to the text."""
+    out: list[str] = []
+    last: dict | None = None
+    done = at = 0
+    while s := start.search(text, at):
+        here = s.start()
+        kind = _kind(s)
+        if kind and last is None:
+            last = {_kind(m): m.start() for m in _CLOSER.finditer(text)}
+        if kind is None or last.get(kind, -1) > here:
+            m = pattern.match(text, here)
+        else:
+            # a reference may close itself
+            m = pattern.match(text, here) if kind == ("tag", "ref") and _REF.match(text, here) else None
+        if m:
+            out += text[done:here], to(m)
+            done = at = m.end()
+        else:
+            at = here + 1
+    return "".join(out) + text[done:] if out else text
 
 
 class _Body:
@@ -141,16 +161,14 @@ class _Body:
         for mark in (_OPEN, _SHUT, _LITERAL, _AT):
             text = text.replace(mark, "")
         self.container = "/body"
-        if len(text) > LONG:
-            text = _without_dangling(text)
-        text = _PROTECT.sub(self.protect, text)
+        text = _sub_closed(_PROTECT, _START, self.protect, text)
         while "{{" in text:
             text, n = _TEMPLATE.subn("", text)
             if not n:
                 break
         self.open: list[tuple[str, str]] = []
         text = _CONTAINER.sub(self.enter, text)
-        text = _HTML_HEADING.sub(self.html_heading, text)
+        text = _sub_closed(_HTML_HEADING, _HEADING_START, self.html_heading, text)
         text = self.html_lists(text)
         text = _BLOCK_TAG.sub(lambda m: "\n\n" + (_LITERAL + "P " if m[0][1:2] in "pP" and m[0][2:3] in "> \n\t" else ""), text)
         self.scan(text.split("\n"))

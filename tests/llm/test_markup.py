@@ -117,3 +117,20 @@ def test_removed_regions_do_not_count(spark, region):
 def test_a_corpus_without_prose_keeps_its_elements(spark):
     df = spark.createDataFrame([(1, "<ul><li>a, b</li></ul>")], "identifier bigint, body string")
     assert [r["content"] for r in M.structural_elements(df, "body", ["identifier"]).collect()] == ["a, b"]
+
+
+@pytest.mark.parametrize("body", ["```\nre \\( a \\[ b\n```\n", "\\begin{verbatim}\\begin{foo} <table> <h2>\\end{verbatim}\n", "```\n<table> <h2> <pre>\n```\n", "* a \\[ b\n", "== a \\( b ==\n", "<h2>a \\[ b</h2>\n", "text\n{| x\n\n* i\n", "* a <ref name='n'/> b\n"])
+def test_a_long_body_gives_the_elements_of_a_short_one(body):
+    padding = "\n\n" + "Some prose, to fill. " * 2000
+    short, long = M.parse(body), M.parse(body + padding)
+    assert short.elements and long.elements == short.elements
+    assert M.clean_text(body + padding).startswith(M.clean_text(body))
+
+
+@pytest.mark.parametrize("opener", ["<pre>", "<table>", "<h2>", "<ref>", "\\[", "\\begin{equation}", "\n{|", "<math>"])
+def test_openers_behind_closers_of_other_kinds(opener):
+    import time
+
+    t = time.time()
+    M.parse((opener + "word ") * 20_000 + "</pre x> </h3> </gallery> \\end{align} \\)")
+    assert time.time() - t < 10
