@@ -100,8 +100,21 @@ def strip_keeping_markers(c: Column) -> Column:
     return F.regexp_replace(c, r"^[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+|[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+$", "")
 
 
+# A line of its own between blank ones, as Markdown, wikitext and rendered entries write headings.
+_HEADING_LINE = r"\n[ \t]*\n(?=(?:(?:#{1,6}|■)[ \t]+\S[^\n]*|={2,6}[ \t]*[^\s=][^\n]*=[ \t]*)(?:\n[ \t]*\n|\s*\z))"
+
+
+def lead_text(text: Column) -> Column:
+    """A plain text up to its first heading below the top, without fenced code (for X05)."""
+    prose = F.regexp_replace(text, r"(?ms)^(```+|~~~+)[^\n]*\n.*?^\1[ \t]*$", "")
+    return F.split(prose, _HEADING_LINE, 2)[0]
+
+
 def reading(title: Column, lead: Column) -> Column:
-    """Kana reading after the title in the lead text, ``title (reading, ...)``: the first part that is all kana, as hiragana."""
+    """Kana reading after the title in the lead text, ``title (reading, ...)``: the first part that is all kana, as hiragana.
+
+    The title counts without a closing parenthesis group, then as it is; each of its places in the lead is tried.
+    """
     marks = F.regexp_replace(lead, r"\[[^\[\]]*\]", "")
 
     @F.pandas_udf("string")
@@ -111,11 +124,13 @@ def reading(title: Column, lead: Column) -> Column:
         def one(t, s):
             if t is None or s is None:
                 return None
-            m = re.search(r"[『「]?" + re.escape(t) + r"[』」]?\s*[(（]([^)）]*)[)）]", s)
-            for part in re.split(r"[、,，;；]", m[1]) if m else ():
-                part = part.strip()
-                if re.fullmatch(r"[ぁ-ゖァ-ヶー・\s]+", part):
-                    return part.translate({i: i - 0x60 for i in range(0x30A1, 0x30F7)})
+            for name in dict.fromkeys((re.sub(r"\s*[（(][^（）()]+[)）]$", "", t).strip(), t.strip())):
+                # looked ahead, so that a parenthesis left open hides no later place
+                for m in re.finditer(re.escape(name) + r"(?=[』」]?\s*[(（]([^)）]*)[)）])", s) if name else ():
+                    for part in re.split(r"[、,，;；/／]", m[1]):
+                        part = part.strip()
+                        if re.fullmatch(r"[ぁ-ゖァ-ヶー・\s]+", part):
+                            return part.translate({i: i - 0x60 for i in range(0x30A1, 0x30F7)})
             return None
 
         return pd.Series([one(t, s) for t, s in zip(titles, leads)])

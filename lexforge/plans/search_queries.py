@@ -264,7 +264,7 @@ def x06_parenthetical_bases(spark, d):
 
 @query()
 def x05_readings(spark, d):
-    return table(spark, d, "documents").select("doc_id", strings.reading(F.col("title"), F.substring("text", 1, 2000)).alias("reading"))
+    return table(spark, d, "documents").select("doc_id", strings.reading(F.col("title"), strings.lead_text(F.col("text"))).alias("reading"))
 
 
 @query(f"SELECT DISTINCT url, {sql_strip("replace(url_decode(replace(regexp_replace(url, '^https?://[^/]+/wiki/', ''), '+', '%2B')), '_', ' ')")} AS title FROM normal_articles WHERE regexp_matches(url, '^https?://ja\\.orbwiki\\.example/wiki/[^?#]+$')")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import charset, hashing, strings, urls
 from lexforge.operators import compare, sampling, search
+from lexforge.plans import search_queries
 
 
 def one(spark, value, column):
@@ -23,6 +24,26 @@ def test_keys_and_variants(spark):
     assert [x["r"] for x in r] == ["とうきょう", None]
 
 
+def test_readings_anywhere_in_the_lead(spark, monkeypatch):
+    rows = [
+        ("X", "Lead. " * 1000 + "X（えっくす）", "えっくす"),
+        ("X (film)", "X（エックス）", "えっくす"),
+        ("X (film)", "X (film)（えっくす）", "えっくす"),
+        ("X", "X (1990), later 『X』（えっくす）", "えっくす"),
+        ("X", "X (left open, X（えっくす）", "えっくす"),
+        ("X", "X（Ex／えっくす）", "えっくす"),
+        ("X", "# X\n\nLead.\n\n## Name\n\nX（えっくす）", None),
+        ("X", "Lead.\n\n■ Name\n\nX（えっくす）", None),
+        ("X", "Lead.\n\n== Name ==\n\nX（えっくす）", None),
+        ("X", "```\n\n# no heading\n\n```\n\nX（えっくす）", "えっくす"),
+        ("", "（えっくす）", None), ("(film)", "（えっくす）", None), (None, "X", None), ("X", None, None),
+    ]
+    df = spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)], "doc_id bigint, title string, text string")
+    monkeypatch.setattr(search_queries, "table", lambda spark, d, name: df)
+    got = {r["doc_id"]: r["reading"] for r in search_queries.x05_readings(spark, "").collect()}
+    assert [got[i] for i in range(len(rows))] == [r[2] for r in rows]
+
+
 def test_urls(spark):
     def parse(u):
         return one(spark, u, lambda c: urls.parse_internal(c, ("https://w.example/",)))
