@@ -67,20 +67,25 @@ def inconsistent_links(links: DataFrame) -> DataFrame:
     return links.select("source_page_id", "ordinal", code.alias("code")).filter("code is not null")
 
 
-def redirect_chains(titles: DataFrame, redirects: DataFrame, *, max_hops: int = 16) -> DataFrame:
+def redirect_chains(titles: DataFrame, redirects: DataFrame, *, max_hops: int | None = None) -> DataFrame:
     """(title, target, hops, outcome) of each redirect (J13): outcome resolved, cycle, missing or too_long.
 
-    Pointer doubling: each round joins every pointer with its target's pointer, so ``max_hops`` takes log2 rounds of
-    one shuffle join. ``titles`` is (title); ``redirects`` is (title, target); of several targets the lowest counts.
+    Pointer doubling: each round joins every pointer with its target's pointer and is written, so a chain of n hops takes
+    log2(n) rounds of one shuffle join. Rounds end when no further pointer leaves the redirects: if a chain went on, the
+    one of its redirects within the round's reach would have left, so the rest are cycles. Chains of more than ``max_hops``, if given, are too_long. ``titles`` is
+    (title); ``redirects`` is (title, target); of several targets the lowest counts.
     """
     real = titles.select("title").distinct()
-    step = redirects.filter("title is not null and target is not null").groupBy("title").agg(F.min("target").alias("target"))
-    state = step.select("title", "target", F.lit(1).alias("hops"))
-    rounds = max(1, (max_hops - 1).bit_length())
-    for _ in range(rounds):
-        nxt = state.select(F.col("title").alias("target"), F.col("target").alias("_further"), F.col("hops").alias("_more"))
-        state = state.join(nxt, "target", "left").select("title", F.coalesce("_further", "target").alias("target"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"))
-    on_cycle = state.join(step.select(F.col("title").alias("target"), F.lit(True).alias("_again")), "target", "left")
-    there = on_cycle.join(real.select(F.col("title").alias("target"), F.lit(True).alias("_real")), "target", "left")
-    outcome = F.when(F.col("_again"), "cycle").when(F.col("hops") > max_hops, "too_long").when(F.col("_real"), "resolved").otherwise("missing")
-    return there.select("title", "target", F.when(outcome != "cycle", F.col("hops")).alias("hops"), outcome.alias("outcome"))
+    step = materialize(redirects.filter("title is not null and target is not null").groupBy("title").agg(F.min("target").alias("target")), "redirects")
+    again = step.select(F.col("title").alias("target"), F.lit(True).alias("_again"))
+    # a pointer that has left the redirects is done; the others go on, and their targets may be done or not
+    state = materialize(step.join(again, "target", "left").select("title", "target", F.lit(1).cast("bigint").alias("hops"), F.col("_again").isNotNull().alias("_on")), "hops")
+    before, left = -1, state.filter("_on").count()
+    while left and left != before:
+        nxt = state.select(F.col("title").alias("target"), F.col("target").alias("_further"), F.col("hops").alias("_more"), F.col("_on").alias("_next"))
+        further = state.join(nxt, "target", "left")
+        state = materialize(further.select("title", F.coalesce("_further", "target").alias("target"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"), F.coalesce("_next", F.lit(False)).alias("_on")), "hops")
+        before, left = left, state.filter("_on").count()
+    there = state.join(real.select(F.col("title").alias("target"), F.lit(True).alias("_real")), "target", "left")
+    outcome = F.when(F.col("_on"), "cycle").when(F.col("hops") > max_hops if max_hops is not None else F.lit(False), "too_long").when(F.col("_real"), "resolved").otherwise("missing")
+    return there.select("title", "target", F.when(outcome != "cycle", F.col("hops").cast("int")).alias("hops"), outcome.alias("outcome"))

@@ -86,6 +86,21 @@ def test_redirect_chains_end_in_pages_cycles_or_nothing(spark):
     assert {got[k][1] for k in ("c1", "c2", "c3", "self", "into")} == {"cycle"}
 
 
+def test_long_redirect_chains_end_in_their_pages(spark):
+    titles = spark.createDataFrame([("Z",)], "title string")
+    hops = [(f"h{i}", f"h{i + 1}") for i in range(19)] + [("h19", "Z")] + [(f"c{i}", f"c{(i + 1) % 21}") for i in range(21)] + [("into", "c3")]
+    frame = spark.createDataFrame(hops, "title string, target string")
+    got = {r["title"]: (r["target"], r["hops"], r["outcome"]) for r in links.redirect_chains(titles, frame).collect()}
+    assert [got[f"h{i}"] for i in range(20)] == [("Z", 20 - i, "resolved") for i in range(20)]
+    assert {got[k][1:] for k in got if k[0] != "h"} == {(None, "cycle")} and len(got) == 42
+    capped = {r["title"]: r["outcome"] for r in links.redirect_chains(titles, frame, max_hops=16).collect()}
+    assert (capped["h0"], capped["h3"], capped["h4"], capped["c0"]) == ("too_long", "too_long", "resolved", "cycle")
+    alone = [(f"a{i}", f"a{i + 1}") for i in range(17)]
+    ends = {r["title"]: (r["target"], r["hops"], r["outcome"]) for r in links.redirect_chains(titles, spark.createDataFrame(alone, "title string, target string")).collect()}
+    assert ends["a0"] == ("a17", 17, "missing")
+    assert links.redirect_chains(titles, frame.limit(0)).count() == 0
+
+
 def test_resolution_prefers_titles_then_redirects(spark):
     rows = [(1, 0, None, "Orb"), (1, 1, None, "Hop"), (1, 2, "Help", "Orb"), (1, 3, None, "Gone"), (1, 4, None, None), (1, 5, None, "Both")] + [(2, i, None, "Orb") for i in range(50)]
     frame = spark.createDataFrame(rows, "source_page_id bigint, ordinal int, namespace string, title string")
