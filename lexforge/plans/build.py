@@ -89,7 +89,7 @@ def run_normalize(raw: Raw, *, options: html.Options = html.Options(), key: Key
     return Model(slim, resolved, html.selected_media(pictures), problems)
 
 
-def run_generate(raw: Raw, model: Model, *, max_terms: int = 50, key: Key = index_key) -> Generated:
+def run_generate(raw: Raw, model: Model, *, max_terms: int = 64, key: Key = index_key) -> Generated:
     """Search terms, headwords and rendered entries of the articles that were not rejected, with their issues."""
     pages = raw.articles.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"), F.date_format(utc_wall(iso_instant(F.col("date_modified"))), "yyyy-MM-dd").alias("modified")).join(model.articles.filter("normalize_status != 'rejected'"), "page_id")
     redirects = raw.redirects.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"))

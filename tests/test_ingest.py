@@ -101,6 +101,17 @@ def test_long_redirect_chains_end_in_their_pages(spark):
     assert links.redirect_chains(titles, frame.limit(0)).count() == 0
 
 
+def test_pipeline_keeps_64_keywords_of_a_page(spark, small):
+    from lexforge.plans import build
+
+    html = "".join(f"<h2>Heading {i:03}</h2><p>x</p>" for i in range(70))
+    rows = spark.read.parquet(f"{small}/edge_case_articles.parquet").filter("identifier is not null and article_body.html is not null and name != ''").orderBy("source_sequence").limit(1)
+    one = rows.withColumn("article_body", F.col("article_body").withField("html", F.lit(html))).withColumn("source_hash", F.lit("h"))
+    raw = build.run_ingest(one, arrival=["source_sequence"])
+    terms = build.run_generate(raw, build.run_normalize(raw)).terms.filter("kind = 'keyword'")
+    assert terms.count() == 64
+
+
 def test_resolution_prefers_titles_then_redirects(spark):
     rows = [(1, 0, None, "Orb"), (1, 1, None, "Hop"), (1, 2, "Help", "Orb"), (1, 3, None, "Gone"), (1, 4, None, None), (1, 5, None, "Both")] + [(2, i, None, "Orb") for i in range(50)]
     frame = spark.createDataFrame(rows, "source_page_id bigint, ordinal int, namespace string, title string")
