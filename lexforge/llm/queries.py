@@ -62,4 +62,17 @@ c AS (
   SELECT page_id, revision_id, source_sequence, own, CASE WHEN regexp_full_match(lower(regexp_replace(h, '^\s+|\s+$', '', 'g')), '[0-9a-f]{64}') THEN lower(regexp_replace(h, '^\s+|\s+$', '', 'g')) END AS h FROM k),
 t AS (SELECT page_id, max(revision_id) AS revision_id FROM c GROUP BY 1 HAVING sum(own) >= 2 AND max(revision_id) IS NOT NULL)
 SELECT t.page_id, t.revision_id, (SELECT arg_min(c.h, c.source_sequence) FROM c WHERE c.page_id = t.page_id AND c.revision_id = t.revision_id AND c.h IS NOT NULL) AS source_hash FROM t""",
+    "p5_survivors": r"""
+WITH k AS (
+  SELECT page_id, revision_id, source_hash AS h, source_sequence, 1 AS own, title, ingest_status, is_deleted, seen_at FROM article_states WHERE page_id IS NOT NULL
+  UNION ALL SELECT page_id, kept_revision_id, kept_hash, source_sequence, 0, NULL, NULL, NULL, NULL FROM ingest_duplicates WHERE page_id IS NOT NULL),
+c AS (
+  SELECT * EXCLUDE h, CASE WHEN regexp_full_match(lower(regexp_replace(h, '^\s+|\s+$', '', 'g')), '[0-9a-f]{64}') THEN lower(regexp_replace(h, '^\s+|\s+$', '', 'g')) END AS h,
+    {'a': (title IS NOT NULL)::INT + (seen_at IS NOT NULL)::INT + (is_deleted IS NOT NULL)::INT + (coalesce(ingest_status, '') = 'accepted')::INT, 'b': coalesce(epoch_us(seen_at), -1), 'c': -coalesce(source_sequence, 4611686018427387904)} AS worth FROM k),
+t AS (SELECT page_id, sum(own) AS own_rows, max(revision_id) AS revision_id FROM c GROUP BY 1),
+f AS (SELECT t.page_id, arg_min({'h': c.h, 's': c.source_sequence}, c.source_sequence) AS f FROM t JOIN c ON c.page_id = t.page_id AND c.revision_id = t.revision_id WHERE c.h IS NOT NULL GROUP BY 1),
+d AS (
+  SELECT t.page_id, c.* EXCLUDE page_id, row_number() OVER (PARTITION BY t.page_id ORDER BY c.revision_id IS NOT DISTINCT FROM t.revision_id DESC, c.worth DESC) AS rn FROM t JOIN c ON c.page_id = t.page_id AND c.own = 1)
+SELECT t.page_id, t.own_rows::BIGINT AS own_rows, t.revision_id, f.f.h AS source_hash, f.f.s AS source_sequence, d.title, d.ingest_status, d.is_deleted, d.seen_at, d.revision_id AS detail_revision_id
+FROM t LEFT JOIN f USING (page_id) LEFT JOIN d ON d.page_id = t.page_id AND d.rn = 1""",
 }
