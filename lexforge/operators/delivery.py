@@ -8,6 +8,7 @@ tested against the vector of its own position.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +118,24 @@ def newest_rows(table: DataFrame, *, key: Column, counted: Column, revision: Col
     return with_deletions(table.filter(counted), vectors).filter("not __lx_deleted").drop("__lx_deleted")
 
 
+def has_positions(table: DataFrame) -> bool:
+    """Whether ``table`` is a Parquet scan (possibly with derived columns), whose rows have positions in files."""
+    try:
+        return table.select("_metadata.row_index") is not None
+    except AnalysisException:
+        return False
+
+
+def distinct_by(table: DataFrame, message: list[Column]) -> DataFrame:
+    """The rows of a Parquet scan, one for each distinct ``message`` (null equals null); wide columns are not shuffled.
+
+    ``table`` may have derived columns. Of equal messages any row may stay, the same one for every reader.
+    """
+    _assert_distinct_files(table)
+    vectors = materialize(deletion_vectors(table, message=message, counted=F.lit(True), order=F.col("__lx_row")), "deletions")
+    return with_deletions(table, vectors).filter("not __lx_deleted").drop("__lx_deleted")
+
+
 def distinct_messages(table: DataFrame) -> DataFrame:
     """The full rows of ``table``, exactly one for each message; rows that are no messages are left out."""
     return with_deletions(table.filter(article_message()), article_deletion_vectors(table)).filter("not __lx_deleted").drop("__lx_deleted")

@@ -75,3 +75,13 @@ def test_the_wide_read_is_not_shuffled(spark, tmp_path):
     t = _table(spark, tmp_path / "t", [(s, s % 5, 1, None, "b") for s in range(100)])
     plan = delivery.distinct_messages(t)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_distinct_by_keeps_one_row_of_each_message(spark, tmp_path):
+    rows = [(i % 7, f"body {i % 7}", "clash") for i in range(50)] + [(None, None, None), (None, None, "clash")]
+    spark.createDataFrame(rows, "k int, body string, __lx string").repartition(3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert delivery.has_positions(df) and not delivery.has_positions(spark.createDataFrame(rows, "k int, body string, __lx string"))
+    got = delivery.distinct_by(df.withColumn("n", df["k"] + 1), [df["k"], df["body"]])
+    assert got.columns == ["k", "body", "__lx", "n"] and sorted((r["k"] is None, r["k"] or 0, r["body"]) for r in got.collect()) == sorted({(k is None, k or 0, b) for k, b, _ in rows})
+    assert delivery.distinct_by(df.filter("k > 99"), [df["k"]]).count() == 0
