@@ -4,7 +4,7 @@ One pass per distinct body: regions a reader never sees as prose (comments, scri
 references) are removed, code and formulas are set aside, then HTML lists and headings are read from the tag stream and
 the remaining lines by their wiki, Markdown or LaTeX markers. Each text node is counted under its root-to-leaf tag
 path. Over the whole corpus the text length and punctuation of each path are aggregated, smoothed along the tree and
-fused into one score; elements survive if their container path scores as content.
+fused into one score; elements of every kind survive if their path scores as content.
 """
 
 from __future__ import annotations
@@ -13,11 +13,13 @@ import html
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.operators.delivery import distinct_by, has_positions
 from lexforge.session import broadcast_if_small, materialize
 
 _OPEN, _SHUT, _LITERAL, _AT = "\ue000", "\ue001", "\ue002", "\ue003"
@@ -49,13 +51,13 @@ _PROTECT = re.compile(
     re.S | re.M | re.X | re.I,
 )
 
-_TEMPLATE = re.compile(r"\{\{(?:[^{}]|\{(?!\{)|\}(?!\}))*\}\}")
+_BRACES = re.compile(r"\{\{|\}\}")
 _HTML_HEADING = re.compile(r"<h([1-6])\b[^<>]*>(.*?)</h\1\s*>", re.S | re.I)
 _LIST_TAG = re.compile(r"<(/?)(ul|ol|li|dl|dt|dd)\b[^<>]*>", re.I)
 _CONTAINER = re.compile(r"<(/?)(div|section|article|main|nav|header|footer|aside|form)\b([^<>]*)>", re.I)
 _CLASS = re.compile(r"""\bclass=["']?\s*([\w-]+)""", re.I)
 # Containers that only wrap what stands in them.
-_WRAPPERS = ("mw-highlight", "mw-parser-output")
+_WRAPPERS = ("mw-highlight", "mw-parser-output", "mw-heading", "mw-body-content")
 _BLOCK_TAG = re.compile(r"</?(?:p|body|html|head|blockquote|center|hr)\b[^<>]*>|<!DOCTYPE[^<>]*>", re.I)
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _BR = re.compile(r"<br\b[^<>]*>", re.I)
@@ -143,6 +145,24 @@ def _sub_closed(pattern: re.Pattern, start: re.Pattern, to: Callable[[re.Match],
     return "".join(out) + text[done:] if out else text
 
 
+def _without_templates(text: str) -> str:
+    """Text without closed templates, however deep they are nested, in one pass; braces that nothing closes stay."""
+    opened: list[int] = []
+    spans: list[tuple[int, int]] = []
+    for m in _BRACES.finditer(text):
+        if m[0] == "{{":
+            opened.append(m.start())
+        elif opened:
+            start = opened.pop()
+            while spans and spans[-1][0] > start:
+                spans.pop()
+            spans.append((start, m.end()))
+    if not spans:
+        return text
+    edges = [0, *(x for span in spans for x in span), len(text)]
+    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
 class _Body:
     """Parser state of one body."""
 
@@ -162,10 +182,7 @@ class _Body:
             text = text.replace(mark, "")
         self.container = "/body"
         text = _sub_closed(_PROTECT, _START, self.protect, text)
-        while "{{" in text:
-            text, n = _TEMPLATE.subn("", text)
-            if not n:
-                break
+        text = _without_templates(text)
         self.open: list[tuple[str, str]] = []
         text = _CONTAINER.sub(self.enter, text)
         text = _sub_closed(_HTML_HEADING, _HEADING_START, self.html_heading, text)
@@ -425,9 +442,11 @@ def clean_text(body: str | None) -> str | None:
     return None if body is None else "\n".join(x for x in (line.strip() for line in parse(body).lines) if x)
 
 
-#: Share of the score of the corpus's median prose node below which a container holds no content, and the weight of a path's parent in smoothing.
+#: Share of the score of the corpus's median prose node below which a path holds no content.
 THRESHOLD = 0.1
-PARENT_WEIGHT = 0.5
+#: Weight of a path's container in smoothing, and nodes that a container's parent counts for beside its own.
+CONTAINER_WEIGHT = 0.5
+PARENT_NODES = 10
 
 _PARSED = "elements array<struct<kind:string,content:string,container:string>>, paths array<struct<path:string,chars:bigint,marks:bigint,nodes:bigint>>, text string"
 
@@ -452,54 +471,82 @@ def parse_bodies(bodies: DataFrame, body: str, keys: list[str]) -> DataFrame:
             yield pd.DataFrame(out | {"elements": elements, "paths": paths, "text": texts})
 
     types = dict(bodies.dtypes)
-    return bodies.select(*keys, body).mapInPandas(run, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", " + _PARSED)
+    return bodies.select(*keys, body).mapInPandas(run, ", ".join([*(f"`{k}` {types[k]}" for k in keys), _PARSED]))
 
 
-def path_scores(parsed: DataFrame) -> DataFrame:
-    """(container, score, is_content): tag-path ratios of the whole corpus, smoothed and fused per container path.
+def leaf_scores(parsed: DataFrame) -> DataFrame:
+    """(path, container, chars, marks, nodes, score, is_content): tag-path ratios of the whole corpus.
 
-    The text ratio (characters per node) and punctuation ratio (marks per node) of a path are fused by their product,
-    smoothed with the parent's, and a container's score is the best of the paths in it. It holds content if that is not
-    far below the score of prose: the median over all prose nodes of the corpus, so that no container counts for more
-    than the nodes it has. Regions that are not shown have no paths.
+    Text ratio (characters per node) and punctuation ratio (marks per node) are aggregated for each root-to-leaf path.
+    Both are smoothed along the tree: a leaf path with its container, which stands for its richest leaf, and a container
+    with its parent's prose, the more the fewer nodes it has itself. Text and punctuation are fused by their product. A
+    path holds content if its score is not far below that of prose: the median over all prose nodes of the corpus, so
+    that no path counts for more than the nodes it has. Regions that are not shown have no paths.
     """
     leaf = parsed.select(F.explode("paths").alias("p")).groupBy("p.path").agg(F.sum("p.chars").alias("chars"), F.sum("p.marks").alias("marks"), F.sum("p.nodes").alias("nodes"))
-    ratio = leaf.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("container"), (F.col("chars") / F.col("nodes")).alias("tpr"), (F.col("marks") / F.col("nodes")).alias("ppr"), "nodes")
-    parent = ratio.groupBy("container").agg((F.sum(F.col("tpr") * F.col("nodes")) / F.sum("nodes")).alias("ptpr"), (F.sum(F.col("ppr") * F.col("nodes")) / F.sum("nodes")).alias("pppr"))
-    smooth = ratio.join(parent, "container").select(
-        "container", ((F.col("tpr") * (1 - PARENT_WEIGHT) + F.col("ptpr") * PARENT_WEIGHT) * (F.col("ppr") * (1 - PARENT_WEIGHT) + F.col("pppr") * PARENT_WEIGHT)).alias("fused"),
-        F.col("path").rlike("/(p|dl)$").alias("prose"), "nodes",
+    leaf = leaf.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("container"), "chars", "marks", "nodes", (F.col("chars") / F.col("nodes")).alias("tpr"), (F.col("marks") / F.col("nodes")).alias("ppr"), F.col("path").rlike("/(p|dl)$").alias("prose"))
+    # every leaf counts for all containers above it
+    steps = F.filter(F.split("container", "/"), lambda x: x != "")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.concat(F.lit("/"), F.array_join(F.slice(steps, F.lit(1), n), "/")))
+    of = lambda c, only: F.sum(F.when(F.lit(True) if only is None else F.col("prose"), F.col(c)))
+    tree = leaf.select(F.explode(above).alias("_above"), "chars", "marks", "nodes", "prose").groupBy("_above").agg(
+        F.coalesce(of("chars", 1) / of("nodes", 1), of("chars", None) / of("nodes", None)).alias("atpr"), F.coalesce(of("marks", 1) / of("nodes", 1), of("marks", None) / of("nodes", None)).alias("appr")
     )
-    scored = smooth.groupBy("container").agg(F.max("fused").alias("score"))
+    parent = F.coalesce(F.nullif(F.regexp_replace("container", "/[^/]*$", ""), F.lit("")), F.col("container"))
+    best = leaf.groupBy("container").agg(F.max_by(F.struct("tpr", "ppr"), F.struct(F.col("tpr") * F.col("ppr"), "tpr", "ppr")).alias("b"), F.sum("nodes").alias("n"))
+    lean = lambda own, up: (F.col(own) * F.col("n") + F.col(up) * PARENT_NODES) / (F.col("n") + PARENT_NODES)
+    held = best.select("container", parent.alias("_above"), "b", "n").join(tree, "_above").select("container", lean("b.tpr", "atpr").alias("ctpr"), lean("b.ppr", "appr").alias("cppr"))
+    blend = lambda own, up: F.col(own) * (1 - CONTAINER_WEIGHT) + F.col(up) * CONTAINER_WEIGHT
+    scored = leaf.join(held, "container").select("path", "container", "chars", "marks", "nodes", "prose", (blend("tpr", "ctpr") * blend("ppr", "cppr")).alias("score"))
     # one row per score and kind of path, sorted in one task; a corpus without prose is compared with all of its paths
-    weights = smooth.groupBy("prose", "fused").agg(F.sum("nodes").alias("n"))
-    ranked = weights.select("prose", "fused", F.sum("n").over(Window.partitionBy("prose").orderBy("fused")).alias("upto"), F.sum("n").over(Window.partitionBy("prose")).alias("all"))
-    medians = {r["prose"]: r["median"] for r in ranked.filter("upto * 2 >= all").groupBy("prose").agg(F.min("fused").alias("median")).collect()}
+    weights = scored.groupBy("prose", "score").agg(F.sum("nodes").alias("n"))
+    ranked = weights.select("prose", "score", F.sum("n").over(Window.partitionBy("prose").orderBy("score")).alias("upto"), F.sum("n").over(Window.partitionBy("prose")).alias("all"))
+    medians = {r["prose"]: r["median"] for r in ranked.filter("upto * 2 >= all").groupBy("prose").agg(F.min("score").alias("median")).collect()}
     usual = medians.get(True, medians.get(False, 0.0))
-    return scored.select("container", "score", (F.col("score") >= usual * THRESHOLD).alias("is_content"))
+    return scored.select("path", "container", "chars", "marks", "nodes", "score", (F.col("score") >= usual * THRESHOLD).alias("is_content"))
+
+
+def path_scores(parsed: DataFrame) -> DataFrame:
+    """(container, score, is_content): of each container its best path, and whether any of its paths holds content."""
+    return leaf_scores(parsed).groupBy("container").agg(F.max("score").alias("score"), F.max("is_content").alias("is_content"))
+
+
+def distinct_bodies(bodies: DataFrame, body: str, keys: list[str]) -> DataFrame:
+    """(keys, body): the distinct rows with a body, so that a page repeated in every snapshot is parsed once.
+
+    Of a Parquet scan only the keys and 128 bits of hash of the body are shuffled; the bodies are read again where they
+    lie. Other tables are reduced by a plain ``distinct``.
+    """
+    slim = bodies.select(*keys, body).filter(F.col(body).isNotNull())
+    if not has_positions(slim):
+        return slim.distinct()
+    return distinct_by(slim, [*map(F.col, keys), F.xxhash64(body), F.xxhash64(F.lit(1), F.col(body))])
+
+
+def parsed_bodies(bodies: list[DataFrame], body: str, keys: list[str]) -> DataFrame:
+    """``parse_bodies`` of the distinct bodies of all tables, written to the shared folder as it is read twice."""
+    parts = [parse_bodies(distinct_bodies(b, body, keys), body, keys).select(*keys, "elements", "paths") for b in bodies]
+    return materialize(reduce(DataFrame.unionByName, parts), "parsed")
 
 
-def structural_elements(bodies: DataFrame, body: str, keys: list[str]) -> DataFrame:
-    """(keys, kind, content): distinct headings and list items in content containers, code blocks and formulas anywhere.
+def structural_elements(bodies: DataFrame | list[DataFrame], body: str, keys: list[str]) -> DataFrame:
+    """(keys, kind, content): distinct headings, list items, code blocks and formulas of the paths that hold content.
 
-    ``bodies`` is reduced to its distinct rows first, so a page repeated in every snapshot is parsed once; the parse
-    is written to the shared folder because both the corpus-wide scores and the result read it.
+    ``bodies`` is one table or several with the same columns; rows without a body have no elements.
     """
-    distinct = bodies.select(*keys, body).filter(F.col(body).isNotNull()).distinct()
-    parsed = materialize(parse_bodies(distinct, body, keys).select(*keys, "elements", "paths"), "parsed")
-    content = path_scores(parsed).filter("is_content").select(F.col("container").alias("_c"))
-    elements = parsed.select(*keys, F.explode("elements").alias("e")).select(*keys, "e.kind", "e.content", "e.container")
-    verbatim = elements.filter(F.col("kind").isin("code", "formula"))
-    # containers are few; if a corpus has very many, the join shuffles on them, spread by AQE
-    placed = elements.filter(~F.col("kind").isin("code", "formula")).join(broadcast_if_small(content), F.col("container") == F.col("_c"), "left_semi")
-    return placed.unionByName(verbatim).select(*keys, "kind", "content").distinct()
+    parsed = parsed_bodies(bodies if isinstance(bodies, list) else [bodies], body, keys)
+    content = leaf_scores(parsed).filter("is_content").select(F.col("path").alias("_p"))
+    elements = parsed.select(*keys, F.explode("elements").alias("e")).select(*keys, "e.kind", "e.content", F.concat_ws("/", "e.container", "e.kind").alias("_path"))
+    # paths are few; if a corpus has very many, the join shuffles on them, spread by AQE
+    placed = elements.join(broadcast_if_small(content), F.col("_path") == F.col("_p"), "left_semi")
+    return placed.select(*keys, "kind", "content").distinct()
 
 
-def article_bodies(articles: DataFrame, edges: DataFrame) -> DataFrame:
-    """(source_table, identifier, version_identifier, body) of rows that have all of them."""
+def article_bodies(articles: DataFrame, edges: DataFrame) -> list[DataFrame]:
+    """(source_table, identifier, version_identifier, body) of the rows of each table that have all of them."""
 
     def part(df: DataFrame, name: str, body: Column) -> DataFrame:
         return df.select(F.lit(name).alias("source_table"), "identifier", F.col("version.identifier").alias("version_identifier"), body.alias("body"))
 
-    both = part(articles, "normal_articles", F.col("article_body.html")).unionByName(part(edges, "edge_case_articles", F.col("article_body.wikitext")))
-    return both.filter("identifier is not null and version_identifier is not null and body is not null")
+    both = part(articles, "normal_articles", F.col("article_body.html")), part(edges, "edge_case_articles", F.col("article_body.wikitext"))
+    return [df.filter("identifier is not null and version_identifier is not null and body is not null") for df in both]

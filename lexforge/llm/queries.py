@@ -16,17 +16,28 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     texts = lookalike.article_and_alias_texts(table(spark, d, "normal_articles"), table(spark, d, "aliases"))
-    return lookalike.canonical_forms(texts.select("text").distinct(), "text")
+    return lookalike.look_classes(texts, "key", "text")
+
+
+_BODY = ["source_table", "identifier", "version_identifier"]
+
+
+def _bodies(spark: SparkSession, d: str) -> list[DataFrame]:
+    return markup.article_bodies(table(spark, d, "normal_articles"), table(spark, d, "edge_case_articles"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    bodies = markup.article_bodies(table(spark, d, "normal_articles"), table(spark, d, "edge_case_articles"))
-    return markup.structural_elements(bodies, "body", ["source_table", "identifier", "version_identifier"])
+    return markup.structural_elements(_bodies(spark, d), "body", _BODY)
 
 
 def p4_text(spark: SparkSession, d: str) -> DataFrame:
-    bodies = markup.article_bodies(table(spark, d, "normal_articles"), table(spark, d, "edge_case_articles")).distinct()
-    return markup.parse_bodies(bodies, "body", ["source_table", "identifier", "version_identifier"]).select("source_table", "identifier", "version_identifier", "text")
+    parts = [markup.parse_bodies(markup.distinct_bodies(b, "body", _BODY), "body", _BODY).select(*_BODY, "text") for b in _bodies(spark, d)]
+    return parts[0].unionByName(parts[1])
+
+
+def p4_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Ratios and verdict of each tag path of the corpus, with the nodes that it keeps or leaves out."""
+    return markup.leaf_scores(markup.parsed_bodies(_bodies(spark, d), "body", _BODY))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +61,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_survivors": p5_survivors, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_pieces": p9_pieces,
+    "p1_found": p1_found, "p1_forms": p1_forms, "p4_found": p4_found, "p4_text": p4_text, "p4_paths": p4_paths, "p5_found": p5_found, "p5_survivors": p5_survivors, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_pieces": p9_pieces,
 }
 
 ORACLE = {

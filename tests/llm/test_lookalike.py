@@ -72,3 +72,56 @@ def test_forms_of_a_table(spark):
     assert got[1] == got[2] and got[3] is None and got[4] == "" and got[5] == "あ" * 100_000
     assert {r["skeleton"] for r in L.with_skeleton(df, df["text"]).filter("key < 3").collect()} == {"Orb"}
     assert unicodedata.normalize("NFC", got[1]) == got[1]
+
+
+WORDS = "Paypal Capital Island Illinois Isabella alphabet policy people apple palace Ireland Berlin Lille Milan Italy local little village hill valley level royal imperial capital polar Ptolemy Google Oslo London Toronto 2010 1990 2001 1111 1101 rota wool Orb Iris Ilia".split()
+
+
+def trained(words):
+    from collections import Counter
+
+    pairs = Counter(L.mark(a) + L.mark(b) for w in words for a, b in zip("\x02" + L.plain(w), L.plain(w) + "\x03"))
+    return L.Reader({k: float(v) for k, v in pairs.items()})
+
+
+def test_context_decides_between_letters_taken_for_each_other():
+    reader = trained(WORDS * 200)
+    form = lambda t: reader.read(L.skeleton(t))
+    assert form("PaypaI") == form("Paypal") == "Paypal" and form("peoρle") == form("people") == "people" and form("Lond0n") == "London" and form("αlphabet") == "alphabet"
+    # where both make sense they stay apart
+    assert form("Iris") != form("Lris") and form("2010") == "2010" and form("1990") == "1990" and form("Illinois") == "Illinois"
+    assert len({form(w) for w in WORDS}) == len(set(WORDS))
+
+
+def test_planted_look_alikes_are_found_and_different_words_kept_apart():
+    import random
+
+    rng = random.Random(5)
+    reader = trained(WORDS * 200)
+    _, members = L.classes()
+    # beyond the old Latin, Greek and Cyrillic letters: Cherokee, Armenian, small capitals, letter-like numerals
+    swaps = {c: [m for m in members.get(c, c) if ord(m) > 0x52F] for c in set("".join(WORDS))}
+    found = tried = 0
+    for _ in range(500):
+        word = rng.choice([w for w in WORDS if w.isalpha()])
+        at = [i for i, c in enumerate(word) if swaps[c]]
+        if at:
+            i = rng.choice(at)
+            tried += 1
+            found += reader.read(L.skeleton(word[:i] + rng.choice(swaps[word[i]]) + word[i + 1 :])) == reader.read(L.skeleton(word))
+    assert tried > 200 and found >= 0.99 * tried
+    near = [(w, w[:i] + o + w[i + 1 :]) for w in WORDS if w.isalpha() for i, c in enumerate(w) for line in L.NEAR if c in line.split(" ") for o in line.split(" ") if o != c and i]
+    assert sum(reader.read(L.skeleton(a)) == reader.read(L.skeleton(b)) for a, b in near) >= 0.9 * len(near)
+
+
+def test_classes_count_spellings_and_keys(spark):
+    rows = [(1, "Orb"), (2, "Orb"), (2, "Orb"), (3, "Оrb"), (4, "x"), (5, None), (None, "Orb"), (6, "")]
+    got = {r["text"]: (r["keys"], r["spellings"], r["class_keys"]) for r in L.look_classes(spark.createDataFrame(rows, "key bigint, text string"), "key", "text").collect()}
+    assert got == {"Orb": (2, 2, 3), "Оrb": (1, 2, 3), "x": (1, 1, 1), "": (1, 1, 1)}
+
+
+def test_a_hot_class_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(L, "PAIR_KEYS", 7)
+    rows = [(i, "Orb") for i in range(60)] + [(100 + i, "Оrb") for i in range(5)] + [(200, "Ｏrb"), (0, "Оrb")]
+    got = {tuple(r) for r in L.lookalike_pairs(spark.createDataFrame(rows, "key bigint, text string"), "key", "text").collect()}
+    assert got == {(min(a, b), max(a, b)) for a, x in rows for b, y in rows if a != b and x != y}

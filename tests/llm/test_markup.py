@@ -86,7 +86,7 @@ def test_boilerplate_containers_are_left_out(spark):
     page = "<body><div class='nav'><h3>Menu</h3><ul><li><a href='./a'>A</a></li><li>B</li></ul><pre>kept</pre></div><div class='main'><h2>H</h2><p>A sentence, with marks; and words. It goes on, and on.</p><ul><li>x</li></ul></div></body>"
     df = spark.createDataFrame([(i, page) for i in range(5)], "identifier bigint, body string")
     got = {(r["kind"], r["content"]) for r in M.structural_elements(df, "body", ["identifier"]).collect()}
-    assert got == {("heading", "H"), ("list_item", "x"), ("code", "kept")}
+    assert got == {("heading", "H"), ("list_item", "x")}  # code passes through the ratios like all other kinds
     assert {e[2] for e in M.parse(page).elements} == {"/body/div.nav", "/body/div.main"}
 
 
@@ -96,6 +96,46 @@ def test_paths_without_prose_score_low(spark):
     assert all(r["is_content"] for r in M.path_scores(parsed).collect())
 
 
+def test_a_leaf_path_is_dropped_by_its_ratio_alone(spark):
+    # one container, well evidenced: its code and headings lean on its prose, the link lists of another one do not
+    prose = "<p>A sentence, with marks; and words. It goes on, and on.</p>"
+    page = f"<section><h2>H</h2>{prose * 3}<pre>x = 1</pre><ul><li>i</li></ul></section><aside class='links'><ul>" + "<li>A</li>" * 10 + "</ul><math alttext='q'></math></aside>"
+    df = spark.createDataFrame([(i, page) for i in range(5)], "identifier bigint, body string")
+    verdicts = {r["path"]: (r["nodes"], r["is_content"]) for r in M.leaf_scores(M.parse_bodies(df, "body", ["identifier"])).collect()}
+    assert verdicts["/body/aside.links/list_item"] == (50, False) and verdicts["/body/aside.links/formula"] == (5, False)
+    assert {k for k, v in verdicts.items() if v[1]} == {f"/body/section/{k}" for k in ("heading", "p", "code", "list_item")}
+    assert {(r["kind"], r["content"]) for r in M.structural_elements(df, "body", ["identifier"]).collect()} == {("heading", "H"), ("code", "x = 1"), ("list_item", "i")}
+
+
+def test_a_small_container_leans_on_its_parent(spark):
+    prose = "<p>A sentence, with marks; and words. It goes on, and on.</p>" * 30
+    few = spark.createDataFrame([(1, f"<article>{prose}<div class='x'><h2>A heading</h2></div></article>")], "identifier bigint, body string")
+    many = spark.createDataFrame([(i, f"<article>{prose}<div class='x'>{'<h2>A heading</h2>' * 30}</div></article>") for i in range(3)], "identifier bigint, body string")
+    found = lambda df: [r["content"] for r in M.structural_elements(df, "body", []).collect()]
+    assert found(few) == ["A heading"] and found(many) == []
+
+
+def test_nested_templates_take_time_in_proportion():
+    import time
+
+    t = time.time()
+    parsed = M.parse("<h2>A</h2>\n" + "{{a " * 40_000 + "}}" * 40_000 + "\n* x {{b|{{c}}}} y\n* {{d\n* z }}")
+    assert time.time() - t < 3
+    assert [e[:2] for e in parsed.elements] == [("heading", "A"), ("list_item", "x y")]
+    assert M._without_templates("a {{b {{c}} d") == "a {{b  d" and M._without_templates("}} {{{x}}}") == "}} }"
+
+
+def test_bodies_of_a_scan_are_not_shuffled(spark, small):
+    from lexforge.session import table
+
+    bodies = M.article_bodies(table(spark, small, "normal_articles"), table(spark, small, "edge_case_articles"))
+    for b in bodies:
+        got = M.distinct_bodies(b, "body", ["source_table", "identifier", "version_identifier"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, b.distinct().collect()))
+
+
 ORDINARY = "<section><h2>H</h2><p>A sentence, with marks; and words. It goes on, and on.</p><ul><li>x</li></ul></section>"
 
 
