@@ -75,11 +75,11 @@ def load_vocabulary(name: str = "byte_bpe_50k", folder: str = FOLDER) -> Vocabul
         raw = bytes(back[c] for c in a + b)
         for i in range(1, len(raw)):
             spans.setdefault((raw[i - 1], raw[i]), {})[raw[max(0, i - 4) : i], raw[i : i + 4]] = None
-    pack = lambda d: np.array([(*k, v) for k, v in d.items()], dtype=np.int32)
+    pack = lambda d: np.array([(*k, v) for k, v in d.items()], dtype=np.int32).reshape(-1, 3)
     texts = [""] * (max(ids.values()) + 1)
     for t, i in ids.items():
         texts[i] = t
-    return Vocabulary(np.array([ids[c] for c in letters], dtype=np.int32), np.array(merges, dtype=np.int32), pack(left), pack(right), texts, "\n".join(texts), {k: tuple(d) for k, d in spans.items()})
+    return Vocabulary(np.array([ids[c] for c in letters], dtype=np.int32), np.array(merges, dtype=np.int32).reshape(-1, 4), pack(left), pack(right), texts, "\n".join(texts), {k: tuple(d) for k, d in spans.items()})
 
 
 #: Steps of the first recursion; words that need more are cut again and go on in the second one.
@@ -232,7 +232,7 @@ class Encoder:
         return [list(chain.from_iterable(map(self.known.__getitem__, ws))) for ws in split]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 def encode_documents(documents: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k", folder: str = FOLDER) -> DataFrame:
@@ -244,9 +244,9 @@ def encode_documents(documents: DataFrame, *, key: str = "doc_id", text: str = "
     shared = documents.sparkSession.sparkContext.broadcast(load_vocabulary(tokenizer, folder))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(tokenizer)
+        encoder = _ENCODERS.get((folder, tokenizer))
         if encoder is None:
-            encoder = _ENCODERS[tokenizer] = Encoder(shared.value)
+            encoder = _ENCODERS[folder, tokenizer] = Encoder(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)

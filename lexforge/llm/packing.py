@@ -33,9 +33,11 @@ class Run(NamedTuple):
 def _fix_dominating(left: Counter, sizes: list[int], capacity: int, runs: list[Run]) -> None:
     """Martello-Toth: fix each largest item with a set of others that dominates every other feasible set for it.
 
-    A set dominates if its items can replace any other feasible companions one for one. With room ``r`` left beside
-    the item: nothing fits -> alone; one item of exactly ``r`` -> it dominates all; if no two items fit together, the
-    largest that fits dominates. Anything else stays for best fit.
+    A set dominates another if the other's items can be parted so that each part fits into the place of one of its
+    items. With room ``r`` left beside the item: nothing fits -> alone; one item of exactly ``r`` -> it dominates all;
+    if no two items fit together, the largest that fits dominates. If two but never three fit together, the largest
+    that fits dominates alone if no two hold more than it; else the largest with the largest that fits beside it
+    dominates all, provided that no two items above the smaller of them fit together. Anything else stays for best fit.
     """
     alive = list(sizes)  # ascending, only sizes with items left
 
@@ -61,13 +63,54 @@ def _fix_dominating(left: Counter, sizes: list[int], capacity: int, runs: list[R
             after = alive[bisect.bisect_right(alive, low) :][:2]
             second = low if spare > 1 else next((x for x in after if left[x] - (x == big) > 0), capacity + 1)
             if mate != room and low + second <= room:
-                break
+                pair = _dominating_pair(left, alive, big, room, mate)
+                if pair is None:
+                    break
+                if len(pair) == 2:
+                    content = Counter((big, *pair))
+                    times = min(left[x] // n for x, n in content.items())
+                    runs.append(Run(tuple(sorted(content.items())), times))
+                    for x, n in content.items():
+                        take(x, n * times)
+                    continue
             times = left[big] // 2 if mate == big else min(left[big], left[mate])
             runs.append(Run(((big, 2),) if mate == big else ((big, 1), (mate, 1)), times))
             take(big, times)
             take(mate, times)
 
 
+def _dominating_pair(left: Counter, alive: list[int], big: int, room: int, mate: int) -> tuple[int, ...] | None:
+    """Companions that dominate all others beside ``big``: (mate,) or (mate, other), or None if that cannot be proved."""
+    spare = lambda x: left[x] - (x == big)
+    fitting = [x for x in alive[: bisect.bisect_right(alive, room)] if spare(x) > 0]
+    three, n = 0, 0
+    for x in fitting:  # the three smallest items together
+        used = min(spare(x), 3 - n)
+        three, n = three + x * used, n + used
+        if n == 3:
+            break
+    if n == 3 and three <= room:
+        return None
+    best, k = 0, len(fitting) - 1  # the largest sum of two that fit
+    for i, x in enumerate(fitting):
+        while k > i and x + fitting[k] > room:
+            k -= 1
+        if k < i or (k == i and (spare(x) < 2 or 2 * x > room)):
+            break
+        best = max(best, x + fitting[k])
+    if mate >= best:
+        return (mate,)
+    other = next((x for x in reversed(fitting) if mate + x <= room and spare(x) > (x == mate)), None)
+    if other is None:
+        return None
+    above = [x for x in fitting[bisect.bisect_right(fitting, other) :]][:2]
+    if above:
+        second = above[0] if spare(above[0]) > 1 else above[1] if len(above) > 1 else room + 1
+        if above[0] + second <= room:
+            return None
+    return (mate, other)
+
+
 def _best_fit(left: Counter, capacity: int, runs: list[Run]) -> None:
     """Best-fit decreasing on the histogram: equal containers are kept as one run with a multiplicity.
 
@@ -154,8 +197,15 @@ def token_counts(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     return documents.select(key, text).mapInPandas(run, f"`{key}` {dict(documents.dtypes)[key]}, n_tokens int")
 
 
-#: Items that one numbering group may hold at most on average; more items make more groups.
+#: Items that one numbering group holds on average, and the most groups there are (their counts are summed in one task).
 GROUP_ITEMS = 100_000
+MOST_GROUPS = 16_384
+#: Rows of the slot table that one broadcast holds (some 32 MB); more are applied size range by size range.
+SLOT_ROWS = 1_000_000
+
+
+def _groups(total: int) -> int:
+    return min(MOST_GROUPS, max(1, -(-total // GROUP_ITEMS)) * 8)
 
 
 def _numbered(items: DataFrame, total: int) -> DataFrame:
@@ -163,7 +213,7 @@ def _numbered(items: DataFrame, total: int) -> DataFrame:
 
     Each size is spread over hash groups; group counts give each group its offset, ranks are taken within the groups.
     """
-    groups = max(1, -(-total // GROUP_ITEMS)) * 8
+    groups = _groups(total)
     spread = items.withColumn("_group", F.pmod(F.xxhash64("_key", "_piece"), F.lit(groups)).cast("int"))
     counts = spread.groupBy("_size", "_group").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_size", "_group", (F.sum("_n").over(Window.partitionBy("_size").orderBy("_group")) - F.col("_n")).alias("_offset"))
@@ -184,6 +234,26 @@ def _slots(runs: list[Run], first: int) -> tuple[pd.DataFrame, int]:
     return pd.DataFrame(rows, columns=["_size", "_from", "_per", "_first"], dtype="int64"), number
 
 
+def _ranges(slots: pd.DataFrame) -> list[tuple[int, int, pd.DataFrame]]:
+    """(lowest size, highest size, slots) of ranges of sizes, each of at most SLOT_ROWS rows or of one size.
+
+    A size has at most two slots for each other size (every size opens or divides at most two runs), so the capacity
+    bounds each range.
+    """
+    if len(slots) <= SLOT_ROWS:
+        return [(0, 2**31 - 1, slots)]
+    out, low, n = [], None, 0
+    counts = slots.groupby("_size").size().sort_index()
+    for size, c in counts.items():
+        if low is not None and n + c > SLOT_ROWS:
+            out.append((low, last))
+            low, n = None, 0
+        low = size if low is None else low
+        last, n = size, n + c
+    out.append((low, last))
+    return [(int(a), int(b), slots[slots["_size"].between(a, b)]) for a, b in out]
+
+
 def pack_documents(counts: DataFrame, capacity: int, *, key: str = "doc_id") -> DataFrame:
     """(key, piece_no, token_start, token_end, container_id): every document in containers of ``capacity`` tokens.
 
@@ -199,10 +269,14 @@ def pack_documents(counts: DataFrame, capacity: int, *, key: str = "doc_id") ->
     runs = pack_histogram(histogram, capacity)
     slots, after = _slots(runs, 1)
     numbered = _numbered(items.filter("_size > 0"), sum(histogram.values()))
-    placed = numbered.withColumn("container_id", _locate(spark, slots)(F.col("_size").cast("bigint"), F.col("_rank")))
+    placed = None
+    for low, high, own in _ranges(slots):
+        part = numbered if own is slots else numbered.filter(F.col("_size").between(low, high))
+        part = part.withColumn("container_id", _locate(spark, own)(F.col("_size").cast("bigint"), F.col("_rank")))
+        placed = part if placed is None else placed.unionByName(part)
     rest = placed.select("_key", "_piece", (F.col("_piece") * c).alias("token_start"), F.col("_tokens").alias("token_end"), "container_id")
     # full pieces of long documents own a container each; the long documents are numbered after all others by prefix sums
-    spread = items.filter("_piece > 0").withColumn("_group", F.pmod(F.xxhash64("_key"), F.lit(max(8, 8 * (sum(histogram.values()) // GROUP_ITEMS)))).cast("int"))
+    spread = items.filter("_piece > 0").withColumn("_group", F.pmod(F.xxhash64("_key"), F.lit(_groups(sum(histogram.values())))).cast("int"))
     totals = spread.groupBy("_group").agg(F.sum("_piece").alias("_n"))
     offsets = totals.select("_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_offset"))
     w = Window.partitionBy("_group").orderBy("_key", "_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)

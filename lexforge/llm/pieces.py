@@ -1,9 +1,10 @@
 """Oversized documents cut into pieces at natural boundaries, by structure-tree packing.
 
-A document is a tree: sections under headings, blocks parted by blank lines, lines and list items, sentences, clauses,
-words, characters. Sibling subtrees are merged up to the limit from the bottom; only a node that is larger than the
-limit by itself is descended into. All sizes are token counts of the document's own encoding, so a document is encoded
-once for all limits and the tree is a sorted array of boundary positions per level.
+A document is a tree: sections under headings, blocks (paragraphs, HTML blocks, fenced code), list items by their
+nesting, lines, sentences, clauses, words, characters. Sibling subtrees are merged up to the limit from the bottom; only
+a node that is larger than the limit by itself is descended into, and its last part merges with the siblings behind it.
+A heading stays with what follows it. All sizes are token counts of the document's own encoding, so a document is
+encoded once for all limits and the tree is a sorted array of boundary positions per level.
 """
 
 from __future__ import annotations
@@ -19,18 +20,47 @@ from lexforge.llm.bpe import FOLDER
 from lexforge.llm.packing import tokenizer
 
 #: Names of the boundary levels, coarsest first: heading depths 1 to 6, then finer ones.
-LEVELS = ("section1", "section2", "section3", "section4", "section5", "section6", "block", "line", "sentence", "clause", "word", "character")
+LEVELS = ("section1", "section2", "section3", "section4", "section5", "section6", "block", "item1", "item2", "item3", "line", "sentence", "clause", "word", "character")
 _NEVER = len(LEVELS)
+_BLOCK_LEVEL, _ITEM_LEVEL, _LINE_LEVEL, _SENTENCE_LEVEL, _CLAUSE_LEVEL, _WORD_LEVEL = map(LEVELS.index, ("block", "item1", "line", "sentence", "clause", "word"))
 
 #: Tokens of each piece left unused, see cut_document.
 SLACK = 2
+#: A piece filled beyond this share takes nothing of the inside of an oversized node behind it.
+SEALED = 0.7
 
-_HEADING = re.compile(rb"^(?:(#{1,6})[ \t]+\S|(={1,6})[^=\n].*?={1,6}[ \t]*$|\xe2\x96\xa0|<h([1-6])\b|\\((?:sub){0,2})section\b)", re.M)
+_HEADING = re.compile(rb"^(?:(#{1,6})[ \t]+\S|(={1,6})[^=\n].*?={1,6}[ \t]*$|\xe2\x96\xa0|\\((?:sub){0,2})section\b)", re.M)
 _BLOCK = re.compile(rb"\n[ \t\r]*\n\s*")
 _LINE = re.compile(rb"\n")
 _SENTENCE = re.compile(rb"(?:[.!?][\"')\]]*(?=\s)|\xe3\x80\x82(?!\xe3\x80\x8d|\xef\xbc\x89)|\xef\xbc\x81|\xef\xbc\x9f)")
 _CLAUSE = re.compile(rb"(?:[,;:](?=\s)|\xe3\x80\x81|\xef\xbc\x8c|\xef\xbc\x9b)")
 _FENCE = re.compile(rb"^(```|~~~).*?^\1[ \t]*$", re.M | re.S)
+# An item's sign: Markdown bullets and numbers by their indentation, wiki signs by their number, rendered dots.
+_ITEM = re.compile(rb"^(?:([ \t]*)(?:[-+*]|\d{1,3}[.)])[ \t]+|([*#:;]{1,6})[ \t]*(?=[^\s*#:;])|([ \t]*)\xe3\x83\xbb)", re.M)
+_MARKUP = re.compile(rb"<(/?)(h[1-6]|ul|ol|dl|li|dt|dd|p|div|section|article|table|tr|blockquote|pre|figure|hr)\b[^<>]*>", re.I)
+
+
+def _html_boundaries(data: bytes) -> list[tuple[int, int]]:
+    """(offset, level) of the structures that HTML tags begin or end: headings, blocks, list items by nesting, rows."""
+    out: list[tuple[int, int]] = []
+    lists = 0
+    for m in _MARKUP.finditer(data):
+        tag = m[2].lower()
+        if tag in (b"ul", b"ol", b"dl"):
+            # an inner list belongs to the item it stands in
+            out.append((m.end() if m[1] else m.start(), _BLOCK_LEVEL if lists <= (1 if m[1] else 0) else min(_ITEM_LEVEL + lists - 1, _LINE_LEVEL - 1)))
+            lists = max(0, lists - 1) if m[1] else lists + 1
+        elif tag in (b"li", b"dt", b"dd"):
+            if not m[1]:
+                out.append((m.start(), min(_ITEM_LEVEL + max(lists, 1) - 1, _LINE_LEVEL - 1)))
+        elif tag == b"tr":
+            out.append((m.end() if m[1] else m.start(), _LINE_LEVEL))
+        elif tag[:1] == b"h" and tag != b"hr":
+            if not m[1]:
+                out.append((m.start(), tag[1] - 49))
+        else:
+            out.append((m.end() if m[1] else m.start(), _BLOCK_LEVEL))
+    return out
 
 
 def boundary_levels(data: bytes, starts: np.ndarray) -> np.ndarray:
@@ -42,43 +72,77 @@ def boundary_levels(data: bytes, starts: np.ndarray) -> np.ndarray:
     level = np.full(len(starts), _NEVER, dtype=np.int8)
     inner = starts[:-1]
     first = raw[inner]
-    level[:-1][(first & 0xC0) != 0x80] = 11
-    level[:-1][(first == 32) | (first == 10)] = 10
-    fences = [(m.start(), m.end()) for m in _FENCE.finditer(data)] if b"```" in data or b"~~~" in data else []
+    level[:-1][(first & 0xC0) != 0x80] = _NEVER - 1
+    level[:-1][(first == 32) | (first == 10)] = _WORD_LEVEL
+    fences = np.array([m.span() for m in _FENCE.finditer(data)] if b"```" in data or b"~~~" in data else [], dtype=np.int64).reshape(-1, 2)
 
-    def put(offsets: list[int], value: int) -> None:
-        if not offsets:
-            return
-        o = np.array(offsets, dtype=np.int64)
-        for a, b in fences:
-            o = o[(o <= a) | (o >= b)] if value != 7 else o
+    def tokens_at(o: np.ndarray) -> np.ndarray:
         at = np.searchsorted(starts, o)
-        at = at[(at < len(starts))]
-        o = o[: len(at)]
-        hit = at[starts[at] == o]
-        level[hit] = np.minimum(level[hit], value)
-
-    put([m.end() for m in _CLAUSE.finditer(data)], 9)
-    put([m.end() for m in _SENTENCE.finditer(data)], 8)
-    put([m.end() for m in _LINE.finditer(data)], 7)
-    put([m.end() for m in _BLOCK.finditer(data)], 6)
-    depths: dict[int, list[int]] = {}
+        return at[(at < len(starts)) & (starts[np.minimum(at, len(starts) - 1)] == o)]
+
+    def outside(o: np.ndarray) -> np.ndarray:
+        """Whether offsets are in no fence; its ends are not in it."""
+        if len(fences) == 0:
+            return np.ones(len(o), dtype=bool)
+        at = np.searchsorted(fences[:, 0], o, "left") - 1
+        return (at < 0) | (o >= fences[at, 1])
+
+    def put(offsets: list[int], value: int) -> None:
+        if offsets:
+            o = np.array(offsets, dtype=np.int64)
+            hit = tokens_at(o if value == _LINE_LEVEL else o[outside(o)])
+            level[hit] = np.minimum(level[hit], value)
+
+    put([m.end() for m in _CLAUSE.finditer(data)], _CLAUSE_LEVEL)
+    put([m.end() for m in _SENTENCE.finditer(data)], _SENTENCE_LEVEL)
+    put([m.end() for m in _LINE.finditer(data)], _LINE_LEVEL)
+    blocks = [m.end() for m in _BLOCK.finditer(data)]
+    put(blocks, _BLOCK_LEVEL)
+    by_level: dict[int, list[int]] = {}
+    for m in _ITEM.finditer(data):
+        depth = len(m[2]) - 1 if m[2] else len((m[1] or m[3] or b"").expandtabs(4)) // 2
+        by_level.setdefault(min(_ITEM_LEVEL + depth, _LINE_LEVEL - 1), []).append(m.start())
+    headings: list[int] = []
     for m in _HEADING.finditer(data):
-        depth = len(m[1] or m[2] or b"") or int(m[3] or 0) or (1 + len(m[4]) // 3 if m[4] is not None else 2)
-        depths.setdefault(depth - 1, []).append(m.start())
-    for depth, offsets in depths.items():
-        put(offsets, depth)
+        depth = len(m[1] or m[2] or b"") or (1 + len(m[3]) // 3 if m[3] is not None else 2)
+        by_level.setdefault(depth - 1, []).append(m.start())
+        headings.append(m.start())
+    for value, offsets in by_level.items():
+        put(offsets, value)
+    if b"<" in data:
+        # tags often share a token ("><"): the boundary before that token stands for the one inside it
+        tags = _html_boundaries(data)
+        o = np.array([x for x, _ in tags], dtype=np.int64)
+        at = np.searchsorted(starts, o, "right") - 1
+        for k, free, (_, value) in zip(at.tolist(), outside(o).tolist(), tags):
+            if free and level[k] != _NEVER:
+                level[k] = min(level[k], value)
+    # what follows a heading line is no place to part: only a sentence's end is preferred less
+    lead = np.array(headings, dtype=np.int64)
+    for h in lead[outside(lead)].tolist():
+        end = data.find(b"\n", h)
+        while end >= 0:
+            at = tokens_at(np.array([end + 1]))
+            level[at[(level[at] >= _BLOCK_LEVEL) & (level[at] < _WORD_LEVEL)]] = _CLAUSE_LEVEL
+            if not data[end + 1 : end + 2].isspace():
+                break
+            end += 1
     return level
 
 
-def pack_tree(level: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+def pack_tree(level: np.ndarray, limit: int, *, first: int | None = None, least: int = 0) -> list[tuple[int, int, int]]:
     """(start, end, level cut at start): token ranges of at most ``limit`` that tile the document.
 
     The boundaries at or above a level are that level's children. Siblings are merged in order as long as they fit; a
-    node larger than the limit is descended into, and a run of tokens without any boundary is cut by count.
+    node larger than the limit is descended into, its parts being merged with what stands before (unless that is well
+    filled) and behind it. A run of tokens without any boundary is cut by count. The first range has the limit
+    ``first`` and is filled to at least ``least`` tokens, whatever must be descended into for that.
     """
     n = len(level) - 1
+    first = limit if first is None else first
     at_level: dict[int, np.ndarray] = {}
+    out: list[list[int]] = []
+    sealed = False
 
     def inside(s: int, e: int, k: int) -> np.ndarray:
         if k not in at_level:
@@ -86,38 +150,47 @@ def pack_tree(level: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
         p = at_level[k]
         return p[np.searchsorted(p, s, "right") : np.searchsorted(p, e, "left")]
 
-    out: list[tuple[int, int, int]] = []
     stack = [(0, n, 0, 0)]  # start, end, finest level tried, level at the start
     while stack:
         s, e, k, own = stack.pop()
-        if e - s <= limit:
-            out.append((s, e, own))
+        most = first if len(out) < 2 else limit
+        if out and not sealed and e - out[-1][0] <= most:
+            out[-1][1] = e
             continue
+        short = len(out) == 1 and out[0][1] < least
+        if e - s <= (limit if out else first) and not short:
+            out.append([s, e, own])
+            sealed = False
+            continue
+        if out and not short and e - s > limit and out[-1][1] - out[-1][0] > SEALED * most:
+            sealed = True
         cuts = inside(s, e, k)
         while len(cuts) == 0 and k < _NEVER - 1:
             k += 1
             cuts = inside(s, e, k)
         if len(cuts) == 0:
-            cuts = np.arange(s + limit, e, limit)  # one character of more tokens than the limit
-        edges = [s, *cuts.tolist(), e]
-        groups: list[tuple[int, int, bool]] = []  # start, end, whether it must be descended into
-        for a, b in zip(edges, edges[1:]):
-            if b - a > limit:
-                groups.append((a, b, True))
-            elif groups and not groups[-1][2] and b - groups[-1][0] <= limit:
-                groups[-1] = (groups[-1][0], b, False)
+            # one character of more tokens than are left: cut by count
+            room = first - out[0][1] if short else limit if out else first
+            if short:
+                out[0][1] = s + room
             else:
-                groups.append((a, b, False))
-        for a, b, _ in reversed(groups):
+                out.append([s, min(e, s + room), own])
+                sealed = False
+            if s + room < e:
+                stack.append((s + room, e, k, _NEVER))
+            continue
+        edges = [s, *cuts.tolist(), e]
+        for a, b in reversed(list(zip(edges, edges[1:]))):
             stack.append((a, b, k + 1, own if a == s else int(level[a])))
-    return out
+    return [tuple(x) for x in out]
 
 
 def cut_document(text: str, limits: list[tuple[int, int, int]], encoding) -> list[tuple]:
     """(limit_id, piece_no, token_start, token_end, n_overlap, cut, text) for each limit the document exceeds.
 
     ``limits`` are (limit_id, max_tokens, overlap_tokens). Each piece after the first begins ``overlap_tokens`` before
-    the end of its predecessor, moved back to the start of that character if it falls inside one.
+    the end of its predecessor, moved back to the start of that character if it falls inside one. The first piece has
+    at least that many tokens, so no overlap is shorter (unless the overlap is not below the limit).
 
     A piece read by itself has the same tokens: merges never cross a boundary that the document's encoding kept, so
     both sides of it are encoded as before. Only the pattern that parts words can read a beginning differently (an
@@ -136,8 +209,9 @@ def cut_document(text: str, limits: list[tuple[int, int, int]], encoding) -> lis
     rows = []
     for limit_id, most, overlap in todo:
         fresh = max(1, most - overlap - (SLACK + 3 if overlap else SLACK))  # a character has at most three tokens more
+        whole = max(1, most - SLACK)
         before = 0
-        for no, (s, e, cut) in enumerate(pack_tree(level, fresh)):
+        for no, (s, e, cut) in enumerate(pack_tree(level, fresh, first=whole, least=min(overlap, whole))):
             start = max(before, s - overlap) if no else s
             while start > before and level[start] == _NEVER:
                 start -= 1

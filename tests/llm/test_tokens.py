@@ -172,3 +172,77 @@ def test_pieces_cover_documents_and_overlap(spark, reference):
     cuts = {r["cut"] for r in rows if r["doc_id"] == 1}
     assert {"start", "block"} <= cuts
     assert pieces.split_documents(df.limit(0), limits).count() == 0
+
+
+def test_dominating_pairs_cost_no_optimality():
+    from collections import Counter
+
+    rng = random.Random(7)
+    triples = 0
+    for _ in range(300):
+        items = sorted((rng.randint(5, 14) for _ in range(8)), reverse=True)  # three companions never fit
+        left, runs = Counter(items), []
+        packing._fix_dominating(left, sorted(left), 20, runs)
+        triples += sum(r.times for r in runs if sum(n for _, n in r.content) == 3)
+        rest = [s for s, n in left.items() for _ in range(n)]
+        assert sum(r.times for r in runs) + (_best(sorted(rest, reverse=True), 20) if rest else 0) == _best(items, 20)
+    assert triples > 20
+
+
+def test_slots_in_ranges_give_the_same_containers(spark, monkeypatch):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, rng.randint(0, 40)) for i in range(500)], "doc_id bigint, n_tokens int")
+    want = sorted(map(tuple, packing.pack_documents(df, 32).collect()))
+    monkeypatch.setattr(packing, "SLOT_ROWS", 5)
+    assert sorted(map(tuple, packing.pack_documents(df, 32).collect())) == want
+
+
+def test_vocabularies_of_two_folders_stay_apart(spark, tmp_path):
+    import json
+
+    source = json.loads(open(f"{bpe.FOLDER}/byte_bpe_50k.json", encoding="utf-8").read())
+    source["model"]["merges"] = []
+    (tmp_path / "byte_bpe_50k.json").write_text(json.dumps(source), encoding="utf-8")
+    df = spark.createDataFrame([(1, "hello there")], "doc_id bigint, text string").coalesce(1)
+    whole, bare = (bpe.encode_documents(df, folder=f).first()["ids"] for f in (bpe.FOLDER, str(tmp_path)))
+    assert len(bare) == 11 > len(whole)
+
+
+def _cuts(text, most, overlap=0):
+    return pieces.cut_document(text, [(1, most, overlap)], packing.tokenizer("byte_bpe_50k"))
+
+
+def test_nested_lists_are_cut_at_outer_items():
+    sub = "".join(f"  - inner part {k} of it\n" for k in range(4))
+    got = _cuts("".join(f"- outer item number {k}\n{sub}" for k in range(12)), 90)
+    assert len(got) > 4 and {r[5] for r in got} == {"start", "item1"} and all(r[6].startswith("- outer") for r in got)
+    # an item larger than a piece is cut at its inner items
+    got = _cuts("- outer\n" + "".join(f"  - inner part {k} of it\n" for k in range(60)), 90)
+    assert {r[5] for r in got} == {"start", "item2"}
+
+
+def test_html_structure_is_read():
+    item = "<li>some words of an item</li>"
+    html = "".join(f"<h2>Part {k}</h2><p>Words of a paragraph, and more of them here.</p><ul>{item * 3}</ul>" for k in range(10))
+    got = _cuts(html, 120)
+    assert {r[5] for r in got} == {"start", "section2"} and all(r[6].lstrip(">").startswith("<h2>") for r in got)
+    got = _cuts("<ul>" + "<li>outer<ul>" + item * 3 + "</ul></li>" * 1 + "<li>outer<ul>" + item * 30 + "</ul></li></ul>", 60)
+    assert {r[5] for r in got} <= {"start", "item1", "item2"}
+
+
+def test_a_heading_stays_with_its_text():
+    text = "".join(f"## Part {k}\n\n" + "A sentence of some words here. " * 12 + "\n\n" + "Another one, a bit longer than that. " * 12 + "\n\n" for k in range(6))
+    for r in _cuts(text, 100):
+        assert not r[6].rstrip().rsplit("\n", 1)[-1].startswith("##")
+
+
+def test_the_first_piece_is_as_long_as_the_overlap():
+    text = "# T\n\n" + "Word after word without an end to it " * 100
+    got = _cuts(text, 64, 32)
+    assert got[0][3] >= 32 and all(r[4] >= 32 for r in got[1:])
+
+
+def test_parts_of_opened_nodes_join_their_neighbours():
+    text = "".join(f"# S{k}\n\n" + "Some words in here. " * 30 + "\n\n" + "Few words. " * 3 + "\n\n" for k in range(20))
+    sizes = [r[3] - r[2] for r in _cuts(text, 128)]
+    assert sum(sizes[:-1]) / len(sizes[:-1]) > 0.7 * 128 and min(sizes[:-1]) > 25
