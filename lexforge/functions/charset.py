@@ -90,6 +90,11 @@ def unrepresentable_examples(texts: DataFrame, key: str, column: str, *, example
     return rare.join(kept, "ch")
 
 
+def most_frequent(examples: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` most frequent unrepresentable characters, most frequent first, then by code point."""
+    return examples.orderBy(F.desc("n"), "ch").limit(limit)
+
+
 def unrepresentable(text: Column) -> Column:
     """The unrepresentable characters of a text in order (X18); null for null."""
 

@@ -100,42 +100,31 @@ def strip_keeping_markers(c: Column) -> Column:
     return F.regexp_replace(c, r"^[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+|[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+$", "")
 
 
-# A line of its own between blank ones, as Markdown, wikitext and rendered entries write headings.
-_HEADING_LINE = r"\n[ \t]*\n(?=(?:(?:#{1,6}|■)[ \t]+\S[^\n]*|={2,6}[ \t]*[^\s=][^\n]*=[ \t]*)(?:\n[ \t]*\n|\s*\z))"
+# A line of its own between blank ones, as Markdown, wikitext and rendered entries write headings; a block of fenced code.
+_HEADING_LINE = r"\n[ \t]*\n(?:(?:#{1,6}|■)[ \t]+\S[^\n]*|={2,6}[ \t]*[^\s=][^\n]*=[ \t]*)(?:\n[ \t]*\n|\s*\z)"
+_FENCED = r"(?ms)^{0}{0}{0}+[^\n]*\n.*?^{0}{0}{0}+[ \t]*$"
 
 
 def lead_text(text: Column) -> Column:
     """A plain text up to its first heading below the top, without fenced code (for X05)."""
-    prose = F.regexp_replace(text, r"(?ms)^(```+|~~~+)[^\n]*\n.*?^\1[ \t]*$", "")
-    return F.split(prose, _HEADING_LINE, 2)[0]
+    prose = F.regexp_replace(F.regexp_replace(text, _FENCED.format("`"), ""), _FENCED.format("~"), "")
+    return F.regexp_replace(prose, rf"(?s){_HEADING_LINE}.*$", "")
 
 
-def reading(title: Column, lead: Column) -> Column:
-    """Kana reading after the title in the lead text, ``title (reading, ...)``: the first part that is all kana, as hiragana.
+def reading(title: Column, paragraphs: Column) -> Column:
+    """Kana reading that the lead gives behind the title, ``title (reading, ...)``, as hiragana (X05); null if there is none.
 
-    The title counts without a closing parenthesis group, then as it is; each of its places in the lead is tried.
+    The title counts without a closing parenthesis group. Its places are tried in order in each of the lead's
+    ``paragraphs`` (an array); of a parenthesis of at most 128 characters the first part that is all kana counts, with
+    reference marks such as [1] left out.
     """
-    marks = F.regexp_replace(lead, r"\[[^\[\]]*\]", "")
-
-    @F.pandas_udf("string")
-    def first_reading(titles: pd.Series, leads: pd.Series) -> pd.Series:
-        import re
-
-        def one(t, s):
-            if t is None or s is None:
-                return None
-            for name in dict.fromkeys((re.sub(r"\s*[（(][^（）()]+[)）]$", "", t).strip(), t.strip())):
-                # looked ahead, so that a parenthesis left open hides no later place
-                for m in re.finditer(re.escape(name) + r"(?=[』」]?\s*[(（]([^)）]*)[)）])", s) if name else ():
-                    for part in re.split(r"[、,，;；/／]", m[1]):
-                        part = part.strip()
-                        if re.fullmatch(r"[ぁ-ゖァ-ヶー・\s]+", part):
-                            return part.translate({i: i - 0x60 for i in range(0x30A1, 0x30F7)})
-            return None
-
-        return pd.Series([one(t, s) for t, s in zip(titles, leads)])
-
-    return first_reading(title, marks)
+    base = strip(F.regexp_replace(title, rf"{BLANK}*[（(][^（）()]+[）)]$", ""))
+    literal = F.concat(F.lit("\\Q"), F.replace(base, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    place = F.concat(literal, F.lit(rf"[』」]?{BLANK}*[（(]([^）)]{{1,128}})[）)]"))
+    brackets = F.flatten(F.transform(paragraphs, lambda p: F.regexp_extract_all(p, place, F.lit(1))))
+    parts = F.flatten(F.transform(brackets, lambda x: F.split(F.regexp_replace(x, r"\[[0-9]+\]", ""), "[、,，/／]")))
+    kana = F.filter(F.transform(parts, strip), lambda x: x.rlike("^[ぁ-ゖァ-ヶー]+$"))
+    return F.when(base != "", F.translate(F.get(kana, F.lit(0)), _KATAKANA, _HIRAGANA))
 
 
 def code_point_fallback(c: Column) -> Column:

@@ -16,18 +16,22 @@ def latest_snapshot(locks: DataFrame) -> DataFrame:
     return locks.groupBy("project").agg(F.max_by(F.struct("snapshot_identifier", "date_modified"), F.struct("date_modified", "snapshot_version")).alias("s")).select("project", "s.snapshot_identifier", "s.date_modified")
 
 
-def chunk_diff(previous: DataFrame, new: DataFrame) -> DataFrame:
-    """(chunk_key, change, size_delta): full outer join of two file lists on chunk_key (J11, U03). Inputs: (chunk_key, size_bytes, sha256)."""
-    a, b = previous.alias("a"), new.alias("b")
-    joined = a.join(b, F.col("a.chunk_key") == F.col("b.chunk_key"), "full_outer")
-    change = F.when(F.col("a.chunk_key").isNull(), "added").when(F.col("b.chunk_key").isNull(), "removed").when(F.col("a.sha256") != F.col("b.sha256"), "changed").otherwise("unchanged")
-    delta = F.coalesce(F.col("b.size_bytes"), F.lit(0)) - F.coalesce(F.col("a.size_bytes"), F.lit(0))
-    return joined.select(F.coalesce("a.chunk_key", "b.chunk_key").alias("chunk_key"), change.alias("change"), delta.alias("size_delta"))
-
-
-def diff_summary(diff: DataFrame) -> DataFrame:
-    """One row: added, removed, changed, unchanged, size_delta."""
-    return diff.agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("added", "removed", "changed", "unchanged")], F.coalesce(F.sum("size_delta"), F.lit(0)).alias("size_delta"))
+def chunk_diff(previous: DataFrame, new: DataFrame, *, within: list[str] | None = None) -> DataFrame:
+    """(within, chunk_key, change, size_delta): full outer join of file lists on chunk_key.
+
+    Inputs: (within, chunk_key, size_bytes, sha256); ``within`` are columns that name several comparisons at once.
+    """
+    on = [*(within or []), "chunk_key"]
+    a = previous.select(*on, F.col("size_bytes").alias("_size_a"), F.col("sha256").alias("_sha_a"), F.lit(True).alias("_a"))
+    b = new.select(*on, F.col("size_bytes").alias("_size_b"), F.col("sha256").alias("_sha_b"), F.lit(True).alias("_b"))
+    change = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(F.col("_sha_a") != F.col("_sha_b"), "changed").otherwise("unchanged")
+    delta = F.coalesce("_size_b", F.lit(0)) - F.coalesce("_size_a", F.lit(0))
+    return a.join(b, on, "full_outer").select(*on, change.alias("change"), delta.alias("size_delta"))
+
+
+def diff_summary(diff: DataFrame, *, within: list[str] | None = None) -> DataFrame:
+    """(within, added, removed, changed, unchanged, size_delta) (A09); one row without ``within``."""
+    return diff.groupBy(*(within or [])).agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("added", "removed", "changed", "unchanged")], F.coalesce(F.sum("size_delta"), F.lit(0)).alias("size_delta"))
 
 
 def compare_hits(reference: DataFrame, candidate: DataFrame) -> DataFrame:

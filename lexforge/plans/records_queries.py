@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexforge.functions import hashing, strings, urls
-from lexforge.operators import compare, ingest, links, sampling, verify
-from lexforge.session import table
+from lexforge.operators import compare, delivery, ingest, links, sampling, search, snapshots, verify
+from lexforge.plans.sqltext import FOLDING, B, sql_strip, sql_title
+from lexforge.session import materialize, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -25,30 +26,26 @@ def query(sql: str | None = None):
     return add
 
 
-#: Blanks for DuckDB's RE2, as in strings.BLANK.
-B = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-
-
-def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{B}+|{B}+$', '', 'g')"
-
-
-def sql_key(x: str) -> str:
-    return f"nullif({sql_strip(f"regexp_replace(lower({x}), '{B}+', ' ', 'g')")}, '')"
-
-
-LATEST_SQL = """
+LATEST_SQL = f"""{FOLDING},
 base AS MATERIALIZED (SELECT identifier, name, version.identifier AS version, snapshot_identifier, article_body.html AS html, article_body.wikitext AS wikitext, categories, redirects, license, image, url FROM normal_articles),
 pages AS (SELECT identifier AS page_id, name AS title, html, categories, redirects, license, image, url FROM base WHERE identifier IS NOT NULL AND version IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY version DESC, snapshot_identifier, name, html) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY version DESC, snapshot_identifier, name) = 1)"""
 
 
 def pages(spark: SparkSession, d: str) -> DataFrame:
-    """The newest row of each page."""
-    rows = table(spark, d, "normal_articles").select("identifier", "name", F.col("version.identifier").alias("version"), "snapshot_identifier", F.col("article_body.html").alias("html"), "categories", "redirects", "license", "image", "url")
-    order = Window.partitionBy("identifier").orderBy(F.desc("version"), F.asc_nulls_last("snapshot_identifier"), F.asc_nulls_last("name"), F.asc_nulls_last("html"))
+    """The newest row of each page, without its body: rows tied in version, snapshot and name do not differ in it."""
+    rows = table(spark, d, "normal_articles").select("identifier", "name", F.col("version.identifier").alias("version"), "snapshot_identifier", "categories", "redirects", "license", "image", "url")
+    order = Window.partitionBy("identifier").orderBy(F.desc("version"), F.asc_nulls_last("snapshot_identifier"), F.asc_nulls_last("name"))
     newest = rows.filter("identifier is not null and version is not null").withColumn("_rn", F.row_number().over(order)).filter("_rn = 1")
-    return newest.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"), "html", "categories", "redirects", "license", "image", "url")
+    return newest.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"), "categories", "redirects", "license", "image", "url")
+
+
+def page_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The newest row of each page with its body; the winners are chosen on narrow columns and read where they lie."""
+    rows = table(spark, d, "normal_articles").withColumn("_s", F.col("snapshot_identifier").isNull()).withColumn("_n", F.col("name").isNull())
+    known = F.col("identifier").isNotNull() & F.col("version.identifier").isNotNull()
+    newest = delivery.newest_rows(rows, key=F.col("identifier"), counted=known, revision=F.col("version.identifier"), arrival=["_s", "snapshot_identifier", "_n", "name"])
+    return newest.select(F.col("identifier").alias("page_id"), F.col("name").alias("title"), F.col("article_body.html").alias("html"), "categories", "redirects", "license", "image", "url")
 
 
 _PROBLEMS = """
@@ -108,7 +105,10 @@ def a01_reason_counts(spark, d):
     return d02_dedup_audit(spark, d).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("""WITH s AS (SELECT page_id, revision_id AS r, source_hash AS h, coalesce(ingest_status = 'accepted', false) AS v, source_sequence AS a FROM article_states WHERE page_id IS NOT NULL AND revision_id IS NOT NULL),
+l AS (SELECT page_id, list({'r': r, 'h': h, 'ok': v, 'top': CASE WHEN v THEN r END} ORDER BY a, r, h, v) AS l, count(*) AS n FROM s GROUP BY 1),
+f AS (SELECT page_id, n, list_reduce(l, lambda x, y: CASE WHEN x.top IS NULL OR y.r > x.top THEN {'r': y.r, 'h': y.h, 'ok': y.ok, 'top': CASE WHEN y.ok THEN y.r END} ELSE x END) AS w FROM l)
+SELECT page_id, w.r AS revision_id, w.h AS source_hash, CASE WHEN w.top IS NOT NULL THEN 'accepted' ELSE 'rejected' END AS status, n AS arrivals FROM f""")
 def d03_folded_states(spark, d):
     states = table(spark, d, "article_states").withColumn("valid", F.col("ingest_status") == "accepted")
     return ingest.fold_states(states.filter("page_id is not null and revision_id is not null"), arrival=["source_sequence"])
@@ -116,18 +116,18 @@ def d03_folded_states(spark, d):
 
 def _children(field: str, alias: str) -> str:
     return f"""WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(range(len({field}))) AS pos, unnest({field}).name AS name FROM pages),
-k AS (SELECT *, {sql_strip('name')} AS normalized_name FROM e WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page_id, normalized_name ORDER BY pos) = 1)
+n AS (SELECT *, {sql_title('name')} AS normalized_name FROM e WHERE name IS NOT NULL), k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY page_id, normalized_name ORDER BY pos) = 1)
 SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS ordinal, name, normalized_name FROM k"""
 
 
 @query(_children("redirects", "r"))
 def proj02_redirects(spark, d):
-    return ingest.explode_children(pages(spark, d), "redirects", page="page_id", key=strings.strip)
+    return ingest.explode_children(pages(spark, d), "redirects", page="page_id")
 
 
 @query(_children("categories", "c"))
 def proj02_categories(spark, d):
-    return ingest.explode_children(pages(spark, d), "categories", page="page_id", key=strings.strip)
+    return ingest.explode_children(pages(spark, d), "categories", page="page_id")
 
 
 _LICENSE = f"WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(range(len(license))) AS pos, unnest(license) AS l FROM pages)"
@@ -148,15 +148,16 @@ def s05_main_images(spark, d):
     return ingest.main_image(pages(spark, d), page="page_id")
 
 
-@query(f"WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(range(len(redirects))) AS pos, unnest(redirects).name AS name FROM pages), k AS (SELECT * FROM e WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY page_id, {sql_strip('name')} ORDER BY pos) = 1), g AS (SELECT page_id, list(name ORDER BY pos) AS redirects FROM k GROUP BY 1) SELECT p.page_id, coalesce(g.redirects, []) AS redirects FROM pages p LEFT JOIN g USING (page_id)")
+@query(f"WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(range(len(redirects))) AS pos, unnest(redirects).name AS name FROM pages), n AS (SELECT *, {sql_title('name')} AS k FROM e WHERE name IS NOT NULL), k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY page_id, k ORDER BY pos) = 1), g AS (SELECT page_id, list(name ORDER BY pos) AS redirects FROM k GROUP BY 1) SELECT p.page_id, coalesce(g.redirects, []) AS redirects FROM pages p LEFT JOIN g USING (page_id)")
 def j03_redirect_aliases(spark, d):
     all_pages = pages(spark, d)
-    kids = ingest.explode_children(all_pages, "redirects", page="page_id", key=strings.strip)
+    kids = ingest.explode_children(all_pages, "redirects", page="page_id")
     return ingest.hydrate(all_pages.select("page_id"), {"redirects": kids}, page="page_id")
 
 
-_RESOLVED = f"""{LATEST_SQL}, t AS (SELECT {sql_strip('title')} AS k, min(page_id) AS p FROM pages WHERE title IS NOT NULL GROUP BY 1), a AS (SELECT {sql_strip('title')} AS k, min(page_id) AS p FROM aliases WHERE title IS NOT NULL AND page_id IS NOT NULL GROUP BY 1),
-l AS (SELECT *, CASE WHEN namespace IS NULL THEN {sql_strip("replace(title, '_', ' ')")} END AS k FROM links),
+_RESOLVED = f"""{LATEST_SQL}, ti AS (SELECT {sql_title('title')} AS k, page_id FROM pages WHERE title IS NOT NULL), t AS (SELECT k, min(page_id) AS p FROM ti GROUP BY 1), ai AS (SELECT {sql_title('title')} AS k, page_id FROM aliases WHERE title IS NOT NULL AND page_id IS NOT NULL), a AS (SELECT k, min(page_id) AS p FROM ai GROUP BY 1),
+u AS (SELECT DISTINCT title, replace(title, '_', ' ') AS blank FROM links WHERE title IS NOT NULL), v AS (SELECT title, {sql_title('blank')} AS k FROM u),
+l AS (SELECT links.*, CASE WHEN namespace IS NULL THEN v.k END AS k FROM links LEFT JOIN v USING (title)),
 resolved AS (SELECT l.source_page_id, l.ordinal, l.namespace, l.title, l.fragment, coalesce(t.p, a.p) AS target_page_id, CASE WHEN l.namespace IS NOT NULL THEN 'externalized' WHEN coalesce(t.p, a.p) IS NOT NULL THEN 'resolved' ELSE 'missing' END AS resolution
   FROM l LEFT JOIN t ON l.k = t.k AND l.k <> '' LEFT JOIN a ON l.k = a.k AND l.k <> '')"""
 
@@ -164,7 +165,7 @@ resolved AS (SELECT l.source_page_id, l.ordinal, l.namespace, l.title, l.fragmen
 def _resolved(spark, d) -> DataFrame:
     found = table(spark, d, "links").select("source_page_id", "ordinal", "namespace", "title", "fragment")
     redirects = table(spark, d, "aliases").select(F.col("page_id").alias("target_page_id"), "title")
-    key = lambda c: strings.strip(F.replace(c, F.lit("_"), F.lit(" ")))
+    key = lambda c: strings.nfkc_title(F.replace(c, F.lit("_"), F.lit(" ")))
     return links.resolve(found, pages(spark, d), redirects, key=key)
 
 
@@ -189,19 +190,22 @@ q AS (SELECT *, CASE WHEN starts_with(u, './') THEN u[3:] WHEN starts_with(u, '/
 t AS (SELECT *, {sql_strip("replace(url_decode(replace(split_part(p2, '#', 1), '+', '%2B')), '_', ' ')")} AS title0, CASE WHEN contains(p2, '#') THEN nullif(url_decode(regexp_extract(p2, '^[^#]*#(.*)$', 1)), '') END AS fragment FROM r)
 SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS ordinal, title0 AS title, fragment FROM t WHERE title0 <> ''""")
 def proj06_extracted_links(spark, d):
-    found = links.extract_links(pages(spark, d), page="page_id", html="html")
+    found = links.extract_links(page_bodies(spark, d), page="page_id", html="html")
     whole = F.when(F.col("namespace").isNotNull(), F.concat("namespace", F.lit(":"), "title")).otherwise(F.col("title"))
     return found.select("page_id", "ordinal", whole.alias("title"), "fragment")
 
 
 @query(f"WITH {LATEST_SQL} SELECT page_id, sha256(coalesce(html, '')) AS content_hash, regexp_extract(url, '^(https?://[^/]+)', 1) AS base FROM pages")
 def x20_content_hashes(spark, d):
-    return pages(spark, d).select("page_id", hashing.content_hash(F.coalesce("html", F.lit(""))).alias("content_hash"), F.coalesce(urls.base_url(F.col("url")), F.lit("")).alias("base"))
+    return page_bodies(spark, d).select("page_id", hashing.content_hash(F.coalesce("html", F.lit(""))).alias("content_hash"), F.coalesce(urls.base_url(F.col("url")), F.lit("")).alias("base"))
 
 
-@query()
+_PARTS = "[coalesce(title, chr(0)), coalesce(html, chr(0)), sha256(to_json(list_sort(list_transform(coalesce(categories, []), lambda x: x.name)))::VARCHAR), sha256(to_json(list_sort(list_transform(coalesce(redirects, []), lambda x: x.name)))::VARCHAR)]"
+
+
+@query(f"WITH {LATEST_SQL} SELECT page_id, sha256(array_to_string(list_transform({_PARTS}, lambda p: length(p)::VARCHAR || ':' || p), chr(31))) AS logical_hash FROM pages")
 def a11_logical_hashes(spark, d):
-    p = pages(spark, d)
+    p = page_bodies(spark, d)
     names = lambda c: F.transform(c, lambda x: x["name"])
     return p.select("page_id", hashing.article_logical_hash(ordered=[F.col("title"), F.col("html")], unordered=[names("categories"), names("redirects")]).alias("logical_hash"))
 
@@ -218,23 +222,32 @@ def a12_stream_set_hash(spark, d):
 _FILES = "SELECT snapshot_identifier, downloaded_at, unnest(files) AS f FROM source_locks"
 
 
-def _chunk_list(spark, d, snapshot: str) -> DataFrame:
-    """The files of a snapshot's latest lock, keyed by the chunk's number."""
-    rows = compare.lock_files(table(spark, d, "source_locks")).filter(F.col("snapshot_identifier") == snapshot)
-    key = F.regexp_extract("chunk_identifier", r"(chunk_\d+)$", 1)
-    return rows.groupBy(key.alias("chunk_key")).agg(F.max_by("size_bytes", "downloaded_at").alias("size_bytes"), F.max_by("sha256", "downloaded_at").alias("sha256"))
+_CHUNKS = f"""f AS (SELECT project, snapshot_identifier, date_modified, regexp_extract(f.chunk_identifier, '(chunk_\\d+)$', 1) AS chunk_key, arg_max(f.size_bytes, downloaded_at) AS size_bytes, arg_max(f.sha256, downloaded_at) AS sha256
+  FROM (SELECT project, snapshot_identifier, date_modified, downloaded_at, unnest(files) AS f FROM source_locks) GROUP BY ALL),
+o AS (SELECT *, lead(snapshot_identifier) OVER (PARTITION BY project ORDER BY date_modified, snapshot_identifier) AS later FROM (SELECT DISTINCT project, snapshot_identifier, date_modified FROM f))"""
 
 
-def _side(snapshot: str) -> str:
-    return f"(SELECT regexp_extract(f.chunk_identifier, '(chunk_\\d+)$', 1) AS chunk_key, arg_max(f.size_bytes, downloaded_at) AS size_bytes, arg_max(f.sha256, downloaded_at) AS sha256 FROM ({_FILES}) WHERE snapshot_identifier = '{snapshot}' GROUP BY 1)"
+def _chunk_lists(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The files of each snapshot's latest lock, keyed by the later snapshot and the chunk's number: previous and new lists."""
+    rows = compare.lock_files(table(spark, d, "source_locks"))
+    key = F.regexp_extract("chunk_identifier", r"(chunk_\d+)$", 1)
+    lists = rows.groupBy("project", "snapshot_identifier", "date_modified", key.alias("chunk_key")).agg(F.max_by("size_bytes", "downloaded_at").alias("size_bytes"), F.max_by("sha256", "downloaded_at").alias("sha256"))
+    snapshots_ = lists.select("project", "snapshot_identifier", "date_modified").distinct()
+    by_project = Window.partitionBy("project").orderBy("date_modified", "snapshot_identifier")
+    # a handful of locks per project
+    pairs = snapshots_.select("project", "snapshot_identifier", F.lead("snapshot_identifier").over(by_project).alias("later"), F.lag("snapshot_identifier").over(by_project).alias("earlier"))
+    named = lists.join(pairs, ["project", "snapshot_identifier"])
+    previous = named.filter("later is not null").select(F.col("later").alias("snapshot_identifier"), "chunk_key", "size_bytes", "sha256")
+    return previous, named.filter("earlier is not null").select("snapshot_identifier", "chunk_key", "size_bytes", "sha256")
 
 
-_DIFF = f"""d AS (SELECT coalesce(a.chunk_key, b.chunk_key) AS chunk_key, CASE WHEN a.chunk_key IS NULL THEN 'added' WHEN b.chunk_key IS NULL THEN 'removed' WHEN a.sha256 <> b.sha256 THEN 'changed' ELSE 'unchanged' END AS change,
-coalesce(b.size_bytes, 0) - coalesce(a.size_bytes, 0) AS size_delta FROM {_side('orbwiki_namespace_0_r8')} a FULL JOIN {_side('orbwiki_namespace_0_r9')} b ON a.chunk_key = b.chunk_key)"""
+_DIFF = f"""{_CHUNKS}, a AS (SELECT o.later AS snapshot_identifier, f.chunk_key, f.size_bytes, f.sha256 FROM f JOIN o USING (project, snapshot_identifier) WHERE o.later IS NOT NULL), b AS (SELECT f.* FROM f WHERE snapshot_identifier IN (SELECT later FROM o)),
+d AS (SELECT coalesce(a.snapshot_identifier, b.snapshot_identifier) AS snapshot_identifier, coalesce(a.chunk_key, b.chunk_key) AS chunk_key, CASE WHEN a.chunk_key IS NULL THEN 'added' WHEN b.chunk_key IS NULL THEN 'removed' WHEN a.sha256 <> b.sha256 THEN 'changed' ELSE 'unchanged' END AS change,
+coalesce(b.size_bytes, 0) - coalesce(a.size_bytes, 0) AS size_delta FROM a FULL JOIN b ON a.chunk_key = b.chunk_key AND a.snapshot_identifier = b.snapshot_identifier)"""
 
 
 def _diff(spark, d) -> DataFrame:
-    return compare.chunk_diff(_chunk_list(spark, d, "orbwiki_namespace_0_r8"), _chunk_list(spark, d, "orbwiki_namespace_0_r9"))
+    return compare.chunk_diff(*_chunk_lists(spark, d), within=["snapshot_identifier"])
 
 
 @query(f"WITH {_DIFF} SELECT * FROM d")
@@ -242,9 +255,9 @@ def j11_chunk_diff(spark, d):
     return _diff(spark, d)
 
 
-@query(f"WITH {_DIFF} SELECT count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (WHERE change = 'removed') AS removed, count(*) FILTER (WHERE change = 'changed') AS changed, count(*) FILTER (WHERE change = 'unchanged') AS unchanged, coalesce(sum(size_delta), 0)::BIGINT AS size_delta FROM d")
+@query(f"WITH {_DIFF} SELECT snapshot_identifier, count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (WHERE change = 'removed') AS removed, count(*) FILTER (WHERE change = 'changed') AS changed, count(*) FILTER (WHERE change = 'unchanged') AS unchanged, coalesce(sum(size_delta), 0)::BIGINT AS size_delta FROM d GROUP BY 1")
 def a09_diff_summary(spark, d):
-    return compare.diff_summary(_diff(spark, d))
+    return compare.diff_summary(_diff(spark, d), within=["snapshot_identifier"])
 
 
 @query("SELECT project, arg_max(snapshot_identifier, (date_modified, snapshot_version)) AS snapshot_identifier, max(date_modified) AS date_modified FROM source_locks GROUP BY 1")
@@ -323,7 +336,7 @@ strata AS (SELECT page_id, CASE WHEN len(f) = 0 THEN ['baseline'] ELSE f END AS
 
 
 def _signals(spark, d) -> DataFrame:
-    p = pages(spark, d)
+    p = page_bodies(spark, d)
     picture = F.coalesce(F.nullif(F.col("image.content_url"), F.lit("")), F.nullif(F.col("image.url"), F.lit("")))
     return p.select("page_id", sampling.strata(title=F.col("title"), html=F.col("html"), categories=F.transform("categories", lambda c: c["name"]), has_image=picture.isNotNull()).alias("strata"))
 
@@ -333,15 +346,38 @@ def x19_strata(spark, d):
     return _signals(spark, d)
 
 
-@query()
+_SPECIAL = ("long_article", "table_heavy", "image_heavy", "math_heavy", "disambiguation", "list_article", "history_or_literature", "technical", "rare_unicode")
+_HAS = "list_transform([" + ", ".join(f"'{x}'" for x in _SPECIAL) + "], lambda x: list_contains(n.strata, x)::INT)"
+# the greedy choice, one page after the other: counts by stratum, pages taken, whether this one is
+_SAMPLE = f"""{_STRATA.replace("base AS MATERIALIZED", "base AS MATERIALIZED", 1)}, n AS MATERIALIZED (SELECT page_id, strata, row_number() OVER (ORDER BY page_id) AS i FROM strata),
+walk AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS page_id, list_transform(range(9), lambda x: 0) AS counts, 0 AS total, false AS chosen
+  UNION ALL
+  SELECT n.i, n.page_id, CASE WHEN t.take THEN list_transform(range(1, 10), lambda k: w.counts[k] + t.has[k]) ELSE w.counts END, w.total + t.take::INT, t.take
+  FROM walk w JOIN n ON n.i = w.i + 1, LATERAL (SELECT {_HAS} AS has) h, LATERAL (SELECT h.has AS has, w.total < 100 AND len(list_filter(range(1, 10), lambda k: h.has[k] = 1 AND w.counts[k] < 10)) > 0 AS take) t),
+rest AS (SELECT page_id, row_number() OVER (ORDER BY page_id) AS no FROM strata WHERE strata = ['baseline']),
+sample AS (SELECT page_id FROM walk WHERE chosen UNION ALL SELECT page_id FROM rest WHERE no <= 100 - (SELECT max(total) FROM walk))"""
+
+
+def _sample(spark, d, signals: DataFrame) -> DataFrame:
+    return sampling.stratified(signals.withColumn("at", F.col("page_id")), key="page_id", arrival="at", total=100, per_stratum=10)
+
+
+@query(f"WITH RECURSIVE {_SAMPLE} SELECT page_id FROM sample")
 def m01_stratified_sample(spark, d):
-    return sampling.stratified(_signals(spark, d).withColumn("at", F.col("page_id")), key="page_id", arrival="at", total=100, per_stratum=10)
+    return _sample(spark, d, _signals(spark, d))
 
 
-@query(f"WITH {_STRATA}, e AS (SELECT unnest(strata) AS stratum, page_id % 7 = 0 AS sel FROM strata) SELECT stratum, count(*) AS found, count(*) FILTER (WHERE sel) AS selected FROM e GROUP BY 1")
+@query(f"WITH RECURSIVE {_SAMPLE}, e AS (SELECT unnest(strata) AS stratum, page_id IN (SELECT page_id FROM sample) AS sel FROM strata) SELECT stratum, count(*) AS found, count(*) FILTER (WHERE sel) AS selected FROM e GROUP BY 1")
 def a08_stratum_counts(spark, d):
-    signals = _signals(spark, d)
-    return sampling.stratum_counts(signals, signals.filter("page_id % 7 = 0"), key="page_id")
+    signals = materialize(_signals(spark, d), "signals")  # the sample and the counts read them
+    return sampling.stratum_counts(signals, _sample(spark, d, signals), key="page_id")
+
+
+@query(f"WITH RECURSIVE {_SAMPLE} SELECT pages.page_id, title, url FROM pages JOIN sample USING (page_id)")
+def m02_extracted_sample(spark, d):
+    signals = materialize(_signals(spark, d), "signals")
+    return sampling.extract(pages(spark, d), _sample(spark, d, signals), key="page_id").select("page_id", "title", "url")
 
 
 @query("WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, greatest(1, count(*) OVER () // 64) AS stride FROM documents) SELECT doc_id FROM n WHERE i % stride = 0 AND i // stride < 64")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lexforge.functions import charset, strings, urls
 from lexforge.operators import html, links, render, search, wikitext
 from lexforge.plans import build
-from lexforge.plans.records_queries import LATEST_SQL, pages, sql_key, sql_strip
+from lexforge.plans.records_queries import LATEST_SQL, page_bodies, pages
+from lexforge.plans.sqltext import FOLDING, REPRESENTABLE, B, sql_class, sql_key, sql_strip, sql_title, sql_width
 from lexforge.session import materialize, table
 
 QUERIES: dict = {}
@@ -29,7 +30,6 @@ def query(sql: str | None = None):
 
 _HIRA = "".join(map(chr, range(0x3041, 0x3097)))
 _KATA = "".join(map(chr, range(0x30A1, 0x30F7)))
-B = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def _spaceless(k: str) -> str:
@@ -46,7 +46,7 @@ def _bare(k: str) -> str:
 
 _BASE = f"nullif({sql_strip(f"regexp_extract(title, '^(.+?){B}*[(（][^()（）]+[)）]$', 1)")}, '')"
 
-#: Titles, bases and redirects with their keys, then terms and variants; basic keys, because DuckDB has no NFKC.
+#: Titles, bases and redirects with their keys, then terms and variants.
 _TERMS = f"""{LATEST_SQL},
 hop AS (SELECT DISTINCT page_id, title FROM aliases WHERE title IS NOT NULL AND page_id IS NOT NULL),
 src AS (
@@ -64,8 +64,8 @@ def _hops(spark, d) -> DataFrame:
     return table(spark, d, "aliases").select("page_id", "title").filter("title is not null and page_id is not null").distinct()
 
 
-def _terms(spark, d, key=strings.basic_key) -> DataFrame:
-    return search.title_terms(pages(spark, d), _hops(spark, d), key=key)
+def _terms(spark, d) -> DataFrame:
+    return search.title_terms(pages(spark, d), _hops(spark, d))
 
 
 @query(f"WITH {_TERMS} SELECT * FROM terms")
@@ -73,15 +73,10 @@ def t01_title_terms(spark, d):
     return _terms(spark, d)
 
 
-@query()
-def t01_title_terms_nfkc(spark, d):
-    return _terms(spark, d, strings.index_key)
-
-
 @query(f"WITH {LATEST_SQL}, e AS (SELECT page_id, unnest(categories).name AS key FROM pages), k AS (SELECT page_id, key, {sql_key('key')} AS normalized_key FROM e WHERE key <> '') SELECT page_id, key, normalized_key, 'category' AS kind, 500 AS priority, 'category' AS source FROM k WHERE normalized_key <> ''")
 def t02_category_terms(spark, d):
     p = pages(spark, d).select("page_id", F.transform("categories", lambda c: c["name"]).alias("categories"))
-    return search.category_terms(p, key=strings.basic_key)
+    return search.category_terms(p)
 
 
 _CROSS = f"""{LATEST_SQL}, t AS (SELECT page_id, 0 AS o, title FROM pages WHERE title IS NOT NULL UNION ALL SELECT page_id, min(ordinal) + 1, title FROM aliases WHERE title IS NOT NULL AND page_id IS NOT NULL AND ordinal IS NOT NULL GROUP BY page_id, title),
@@ -93,7 +88,7 @@ f AS (SELECT page_id, normalized_key FROM k WHERE normalized_key <> '' GROUP BY
 def t06_cross_terms(spark, d):
     titles = pages(spark, d).select("page_id", F.lit(0).alias("ordinal"), "title")
     hops = table(spark, d, "aliases").filter("title is not null and page_id is not null and ordinal is not null").groupBy("page_id", "title").agg((F.min("ordinal") + 1).alias("ordinal")).select("page_id", "ordinal", "title")
-    return search.cross_terms(titles.unionByName(hops), key=strings.basic_key).select("page_id", "normalized_key", "kind", "priority")
+    return search.cross_terms(titles.unionByName(hops)).select("page_id", "normalized_key", "kind", "priority")
 
 
 @query(f"WITH {_TERMS} SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY priority DESC, normalized_key, source, key) AS rank FROM terms")
@@ -102,15 +97,15 @@ def w02_ranked_terms(spark, d):
 
 
 _BUDGET = f"""{_TERMS}, c AS (SELECT page_id, unnest(categories).name AS key FROM pages), k AS (SELECT DISTINCT page_id, key, {sql_key('key')} AS n FROM c WHERE key <> ''),
-allt AS (SELECT * FROM terms UNION ALL SELECT page_id, key, n, 'keyword', 400, 'heading' FROM k WHERE n <> ''), fit AS (SELECT * FROM allt WHERE strlen(key) <= 24 AND NOT (kind = 'keyword' AND normalized_key IN ('category:cezeneth', 'category:tests'))),
+allt AS (SELECT * FROM terms UNION ALL SELECT page_id, key, n, 'keyword', 400, 'heading' FROM k WHERE n <> ''), fit AS (SELECT * FROM allt WHERE strlen(key) <= 255),
 u AS (SELECT *, sum((kind = 'keyword')::INT) OVER (PARTITION BY page_id ORDER BY priority DESC, normalized_key, source, key ROWS UNBOUNDED PRECEDING) AS used FROM fit)"""
 
 
-@query(f"WITH {_BUDGET} SELECT page_id, key, normalized_key, kind, priority, source FROM u WHERE kind <> 'keyword' OR used <= 1")
+@query(f"WITH {_BUDGET} SELECT page_id, key, normalized_key, kind, priority, source FROM u WHERE kind <> 'keyword' OR used <= 64")
 def t07_budgeted_terms(spark, d):
     each = pages(spark, d).select("page_id", F.explode("categories").alias("c")).select("page_id", F.col("c.name").alias("key")).filter("key != ''").distinct()
-    keywords = each.select("page_id", "key", strings.basic_key(F.col("key")).alias("normalized_key"), F.lit("keyword").alias("kind"), F.lit(400).alias("priority"), F.lit("heading").alias("source")).filter("normalized_key != ''")
-    return search.budgeted(_terms(spark, d).unionByName(keywords), max_terms=1, max_key_bytes=24, stop_words=("category:cezeneth", "category:tests"))
+    keywords = each.select("page_id", "key", strings.index_key(F.col("key")).alias("normalized_key"), F.lit("keyword").alias("kind"), F.lit(400).alias("priority"), F.lit("heading").alias("source")).filter("normalized_key != ''")
+    return search.budgeted(_terms(spark, d).unionByName(keywords), max_terms=64)
 
 
 @query(f"""WITH {_TERMS}, o AS (SELECT page_id, key, min({{'p': -priority, 'n': normalized_key, 's': source, 'k': key}}) AS o FROM terms GROUP BY 1, 2), g AS (SELECT page_id, list(key ORDER BY o) AS ks FROM o GROUP BY 1)
@@ -137,7 +132,7 @@ def t11_headword_index(spark, d):
 
 def _word_terms(spark, d) -> DataFrame:
     titles = pages(spark, d).select("page_id", F.lit(0).alias("ordinal"), "title")
-    return _terms(spark, d).unionByName(search.cross_terms(titles, key=strings.basic_key))
+    return _terms(spark, d).unionByName(search.cross_terms(titles))
 
 
 _SEARCH = f"""{_TERMS}, x AS (SELECT page_id, regexp_split_to_array({sql_strip('title')}, '{B}+') AS ws FROM pages), xx AS (SELECT DISTINCT page_id, {sql_key('w')} AS n FROM (SELECT page_id, unnest(ws) AS w FROM x WHERE len(ws) >= 2)),
@@ -190,9 +185,10 @@ def f14_presence_mismatches(spark, d):
     return search.presence_mismatches(search.query_frame(spark, list(_SET), ("word", "endword", "cross")).select("query_key", "mode", "expected_presence"), _run(spark, d))
 
 
-@query()
+@query(f"""WITH {_RUN}, bo AS (SELECT page_id, arg_max(body, (rendered_at, body)) AS body FROM entries WHERE body IS NOT NULL GROUP BY 1), hit AS (SELECT DISTINCT page_id FROM r WHERE rank = 1)
+SELECT page_id, substring(body, 1, 4096) AS excerpt, sha256(body) AS body_sha256, len(regexp_extract_all(body, chr(30) || 'R:')) AS links, len(regexp_extract_all(body, chr(30) || 'G:')) AS graphics, length(body) > 4096 AS truncated FROM bo JOIN hit USING (page_id)""")
 def q08_sampled_entries(spark, d):
-    bodies = table(spark, d, "entries").filter("body is not null").groupBy("page_id").agg(F.max_by("body", "rendered_at").alias("body"))
+    bodies = table(spark, d, "entries").filter("body is not null").groupBy("page_id").agg(F.max_by("body", F.struct("rendered_at", "body")).alias("body"))
     return search.sample_entries(_run(spark, d), bodies)
 
 
@@ -204,56 +200,77 @@ def a04_histogram(spark, d):
     return charset.histogram(table(spark, d, "documents"), "text")
 
 
-_WIDTHS = "CASE WHEN regexp_matches(ch, '[\\x{1100}-\\x{115F}\\x{2E80}-\\x{A4CF}\\x{AC00}-\\x{D7A3}\\x{F900}-\\x{FAFF}\\x{FE30}-\\x{FE6F}\\x{FF01}-\\x{FF60}]') THEN 'wide' ELSE 'narrow' END"
+_COUNTED = f"""{REPRESENTABLE}, h AS (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) WHERE ch <> '' GROUP BY 1),
+w AS (SELECT ch, n, {sql_class('ch', 'rep.c IS NOT NULL')} AS char_class, {sql_width('ch')} AS width_class FROM h LEFT JOIN rep ON rep.c = ch)"""
+#: The code plan of a table of counted characters.
+_PLAN = """r AS (SELECT *, row_number() OVER (PARTITION BY width_class ORDER BY n DESC, ch) <= {limit} AS kept FROM {source}),
+plan AS (SELECT ch, n, width_class, CASE WHEN kept THEN width_class || '-' || lpad((row_number() OVER (PARTITION BY width_class, kept ORDER BY ch))::VARCHAR, 4, '0') END AS code FROM r)"""
+_CODES = f"{_COUNTED}, {_PLAN.format(limit=charset.MAX_PER_WIDTH, source='(SELECT * FROM w WHERE ascii(ch) > 127)')}"
+_RARE = f"{_COUNTED}, {_PLAN.format(limit=charset.MAX_PER_WIDTH, source="(SELECT * FROM w WHERE char_class = 'C')")}"
 
 
-@query(f"""WITH h AS (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) WHERE ch <> '' GROUP BY 1), w AS (SELECT *, {_WIDTHS} AS width_class FROM h WHERE ascii(ch) > 127),
-r AS (SELECT *, row_number() OVER (PARTITION BY width_class ORDER BY n DESC, ch) <= 40 AS kept FROM w)
-SELECT ch, n, width_class, CASE WHEN kept THEN width_class || '-' || lpad((row_number() OVER (PARTITION BY width_class, kept ORDER BY ch))::VARCHAR, 4, '0') END AS code FROM r""")
+@query(f"WITH {_CODES} SELECT ch, n, width_class, code FROM plan")
 def k03_code_plan(spark, d):
-    wide = F.when(F.col("ch").rlike(r"[\x{1100}-\x{115F}\x{2E80}-\x{A4CF}\x{AC00}-\x{D7A3}\x{F900}-\x{FAFF}\x{FE30}-\x{FE6F}\x{FF01}-\x{FF60}]"), "wide").otherwise("narrow")
-    counts = charset.histogram(table(spark, d, "documents"), "text").filter(F.ascii("ch") > 127).withColumn("width_class", wide)
-    return charset.code_plan(counts, per_width=40)
+    counts = charset.classify(charset.histogram(table(spark, d, "documents"), "text").filter(F.ascii("ch") > 127)).drop("char_class")
+    return charset.code_plan(counts)
 
 
-@query()
+@query(f"WITH {_RARE} SELECT ch, n, width_class, code FROM plan")
 def k02_rare_plan(spark, d):
     rare = charset.classify(charset.histogram(table(spark, d, "documents"), "text")).filter("char_class = 'C'").drop("char_class")
     return charset.code_plan(rare)
 
 
-@query()
+@query(f"WITH {_CODES} SELECT width_class, count(code) AS kept, count(*) FILTER (WHERE code IS NULL) AS overflow_chars, coalesce(sum(n) FILTER (WHERE code IS NULL), 0)::BIGINT AS overflow_uses FROM plan GROUP BY 1")
 def a10_overflow(spark, d):
     return charset.overflow(k03_code_plan(spark, d))
 
 
-@query()
+@query(f"""WITH {_COUNTED}, e AS (SELECT DISTINCT doc_id, ch FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents) WHERE ch IN (SELECT ch FROM w WHERE char_class <> 'A')),
+f AS (SELECT ch, list(doc_id ORDER BY doc_id) AS ids FROM e GROUP BY 1) SELECT w.ch, w.n, f.ids[1:5] AS examples FROM w JOIN f USING (ch)""")
 def a05_unrepresentable(spark, d):
     return charset.unrepresentable_examples(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query()
+@query(f"WITH {_COUNTED} SELECT ch, n FROM w WHERE char_class <> 'A' QUALIFY row_number() OVER (ORDER BY n DESC, ch) <= 20")
+def k08_most_frequent(spark, d):
+    return charset.most_frequent(charset.unrepresentable_examples(table(spark, d, "documents"), "doc_id", "text"), 20).select("ch", "n")
+
+
+@query(f"WITH {_COUNTED} SELECT ch, n, char_class, width_class FROM w")
 def x13_character_classes(spark, d):
     return charset.classify(charset.histogram(table(spark, d, "documents"), "text"))
 
 
-@query()
+_EMBEDDED = """CASE WHEN {x} IS NOT NULL THEN coalesce((SELECT string_agg(CASE WHEN _r.c IS NOT NULL THEN _u._c ELSE {other} END, '' ORDER BY _u._i)
+  FROM (SELECT unnest(string_split({x}, '')) AS _c, unnest(range(len(string_split({x}, '')))) AS _i) _u LEFT JOIN rep _r ON _r.c = _u._c{join} WHERE _u._c <> ''), '') END"""
+_TEXT = _EMBEDDED.format(x="text", other="coalesce('[' || _p.code || ']', printf('[U+%04X]', unicode(_u._c)))", join=" LEFT JOIN plan _p ON _p.ch = _u._c")
+_TITLE = _EMBEDDED.format(x="title", other="printf('[U+%04X]', unicode(_u._c))", join="")
+
+
+@query(f"WITH {_RARE} SELECT doc_id, {_TEXT} AS text, {_TITLE} AS title FROM documents")
 def x16_embedded_texts(spark, d):
     plan = k02_rare_plan(spark, d)
     return table(spark, d, "documents").select("doc_id", charset.embed(F.col("text"), plan).alias("text"), charset.title_fallback(F.col("title")).alias("title"))
 
 
+@query(f"""WITH {REPRESENTABLE} SELECT alias_id, CASE WHEN title IS NOT NULL THEN coalesce((SELECT list(_u._c ORDER BY _u._i) FROM (SELECT unnest(string_split(title, '')) AS _c, unnest(range(len(string_split(title, '')))) AS _i) _u
+  LEFT JOIN rep _r ON _r.c = _u._c WHERE _r.c IS NULL AND _u._c <> ''), []) END AS characters FROM aliases""")
+def x18_unrepresentable(spark, d):
+    return table(spark, d, "aliases").select("alias_id", charset.unrepresentable(F.col("title")).alias("characters"))
+
+
 # Text functions
 
 
-@query()
+@query(f"WITH {FOLDING} SELECT alias_id, {sql_key('title')} AS index_key, {sql_title('title')} AS lookup_title FROM aliases")
 def x01_index_keys(spark, d):
     return table(spark, d, "aliases").select("alias_id", strings.index_key(F.col("title")).alias("index_key"), strings.nfkc_title(F.col("title")).alias("lookup_title"))
 
 
-@query(f"WITH k AS (SELECT alias_id, {sql_key('title')} AS k FROM aliases) SELECT alias_id, {_spaceless('k')} AS spaceless, {_kana('k')} AS kana, {_bare('k')} AS bare FROM k")
+@query(f"WITH {FOLDING}, k AS (SELECT alias_id, {sql_key('title')} AS k FROM aliases) SELECT alias_id, {_spaceless('k')} AS spaceless, {_kana('k')} AS kana, {_bare('k')} AS bare FROM k")
 def x02_key_variants(spark, d):
-    key = strings.basic_key(F.col("title"))
+    key = strings.index_key(F.col("title"))
     return table(spark, d, "aliases").select("alias_id", strings.without_spaces(key).alias("spaceless"), strings.kana_swapped(key).alias("kana"), strings.without_punctuation(key).alias("bare"))
 
 
@@ -262,17 +279,42 @@ def x06_parenthetical_bases(spark, d):
     return table(spark, d, "aliases").select("alias_id", strings.parenthetical_base(F.col("title")).alias("base"))
 
 
-@query()
+_LEAD = r"regexp_replace(regexp_replace(regexp_replace(text, '(?ms)^```+[^\n]*\n.*?^```+[ \t]*$', '', 'g'), '(?ms)^~~~+[^\n]*\n.*?^~~~+[ \t]*$', '', 'g'), '(?s)\n[ \t]*\n(?:(?:#{1,6}|■)[ \t]+\S[^\n]*|={2,6}[ \t]*[^\s=][^\n]*=[ \t]*)(?:\n[ \t]*\n|\s*\z).*$', '')"
+_NAME = sql_strip(f"regexp_replace(title, '{B}*[（(][^（）()]+[）)]$', '')")
+# places of a name ``base`` in the lines of ``lead``, and the first part in brackets there that is all kana
+_READ = f"""b AS (SELECT *, {_NAME} AS base FROM t), m AS (SELECT id, unnest(range(len(string_split(lead, chr(10))))) AS line, unnest(string_split(lead, chr(10))) AS p, base FROM b WHERE base <> ''),
+f AS (SELECT id, line, regexp_extract_all(p, regexp_escape(base) || '[』」]?{B}*[（(]([^）)]{{1,128}})[）)]', 1) AS found FROM m), g AS (SELECT id, line, unnest(range(len(found))) AS no, unnest(found) AS x FROM f),
+e AS (SELECT id, line, no, string_split_regex(regexp_replace(x, '\\[[0-9]+\\]', '', 'g'), '[、,，/／]') AS parts FROM g), k AS (SELECT id, line, no, unnest(range(len(parts))) AS part, unnest(parts) AS y FROM e),
+r AS (SELECT id, arg_min(translate({sql_strip('y')}, '{_KATA}', '{_HIRA}'), (line, no, part)) AS reading FROM k WHERE regexp_full_match({sql_strip('y')}, '[ぁ-ゖァ-ヶー]+') GROUP BY 1)"""
+
+
+@query(f"WITH t AS (SELECT doc_id AS id, title, {_LEAD} AS lead FROM documents), {_READ} SELECT doc_id, r.reading FROM documents LEFT JOIN r ON r.id = doc_id")
 def x05_readings(spark, d):
-    return table(spark, d, "documents").select("doc_id", strings.reading(F.col("title"), strings.lead_text(F.col("text"))).alias("reading"))
+    return table(spark, d, "documents").select("doc_id", strings.reading(F.col("title"), F.split(strings.lead_text(F.col("text")), "\n")).alias("reading"))
+
+
+@query(f"""WITH t AS (SELECT alias_id AS id, title, 'x' || chr(10) || '『' || {_NAME} || '』（[1]' || title || '、' || coalesce(source, '') || '）は／' || title || ' (' || {_NAME} || ' / 12)' AS lead FROM aliases), {_READ}
+SELECT alias_id, r.reading FROM aliases LEFT JOIN r ON r.id = alias_id""")
+def x05_built_readings(spark, d):
+    """Readings out of leads that are built from each title and its own text, so that kana titles have one."""
+    name = strings.strip(F.regexp_replace("title", f"{strings.BLANK}*[（(][^（）()]+[）)]$", ""))
+    second = F.concat(F.lit("『"), name, F.lit("』（[1]"), F.col("title"), F.lit("、"), F.coalesce("source", F.lit("")), F.lit("）は／"), F.col("title"), F.lit(" ("), name, F.lit(" / 12)"))
+    return table(spark, d, "aliases").select("alias_id", strings.reading(F.col("title"), F.array(F.lit("x"), second)).alias("reading"))
 
 
-@query(f"SELECT DISTINCT url, {sql_strip("replace(url_decode(replace(regexp_replace(url, '^https?://[^/]+/wiki/', ''), '+', '%2B')), '_', ' ')")} AS title FROM normal_articles WHERE regexp_matches(url, '^https?://ja\\.orbwiki\\.example/wiki/[^?#]+$')")
+_PLACE = r"regexp_extract(url, '^(?:https?://[^/]+/wiki/|/wiki/|\./)([^?]*)', 1)"
+_SPACES = ", ".join("'" + x + "'" for x in urls.NAMESPACES)
+
+
+@query(rf"""WITH u AS (SELECT DISTINCT url FROM normal_articles WHERE url IS NOT NULL UNION SELECT DISTINCT url FROM edge_case_articles WHERE url IS NOT NULL),
+x AS (SELECT url, CASE WHEN regexp_matches(url, '^(?:https?://ja\.orbwiki\.example)?/wiki/|^\./') THEN {_PLACE} END AS p FROM u),
+y AS (SELECT url, {sql_strip("replace(url_decode(replace(split_part(p, '#', 1), '+', '%2B')), '_', ' ')")} AS whole, CASE WHEN contains(p, '#') THEN nullif(url_decode(replace(regexp_extract(p, '^[^#]*#(.*)$', 1), '+', '%2B')), '') END AS fragment FROM x),
+z AS (SELECT *, contains(whole, ':') AND split_part(whole, ':', 1) IN ({_SPACES}) AND regexp_replace(whole, '^[^:]*:', '') <> '' AS spaced FROM y)
+SELECT url, CASE WHEN whole <> '' AND spaced THEN split_part(whole, ':', 1) END AS namespace, CASE WHEN whole = '' THEN NULL WHEN spaced THEN regexp_replace(whole, '^[^:]*:', '') ELSE whole END AS title, CASE WHEN whole <> '' THEN fragment END AS fragment FROM z""")
 def x07_parsed_urls(spark, d):
-    whole = table(spark, d, "normal_articles").select("url").filter(F.col("url").rlike(r"^https?://ja\.orbwiki\.example/wiki/[^?#]+$")).distinct()
+    whole = table(spark, d, "normal_articles").select("url").unionByName(table(spark, d, "edge_case_articles").select("url")).filter("url is not null").distinct()
     parsed = urls.parse_internal(F.col("url"), ("https://ja.orbwiki.example", "http://ja.orbwiki.example"))
-    p = whole.select("url", parsed.alias("p"))
-    return p.select("url", F.when(F.col("p.namespace").isNotNull(), F.concat("p.namespace", F.lit(":"), "p.title")).otherwise(F.col("p.title")).alias("title"))
+    return whole.select("url", parsed.alias("p")).select("url", "p.namespace", "p.title", "p.fragment")
 
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '[\x00-\x09\x0B-\x1F\x7F\x{80}-\x{9F}]', '', 'g'), '[\x{200B}\x{200C}\x{200D}\x{FEFF}]', '', 'g'), '[ \t\n\r\f\v]+', ' ', 'g') AS text FROM documents")
@@ -280,7 +322,10 @@ def h22_clean_whitespace(spark, d):
     return table(spark, d, "documents").select("doc_id", strings.normalize_whitespace(F.col("text")).alias("text"))
 
 
-@query()
+_SELECTORS = r"[\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}]"
+
+
+@query(f"SELECT doc_id, nfc_normalize(regexp_replace(translate(text, chr(160) || '‘’“”', ' ' || chr(39) || chr(39) || chr(34) || chr(34)), '{_SELECTORS}', '', 'g')) AS text, len(regexp_extract_all(text, '{_SELECTORS}')) AS selectors FROM documents")
 def x10_safe_substitutions(spark, d):
     return table(spark, d, "documents").select("doc_id", strings.safe_substitutions(F.col("text")).alias("text"), F.size(strings.variation_selectors(F.col("text"))).alias("selectors"))
 
@@ -313,7 +358,7 @@ def proj12_estimated_sizes(spark, d):
 
 
 def _model(spark, d) -> DataFrame:
-    return html.normalize_bodies(pages(spark, d), key=["page_id"], html="html")
+    return html.normalize_bodies(page_bodies(spark, d), key=["page_id"], html="html")
 
 
 @query()
@@ -336,11 +381,16 @@ def f07_selected_media(spark, d):
     return html.selected_media(_model(spark, d).select("page_id", F.posexplode("media").alias("ordinal", "m")).select("page_id", "ordinal", "m.*"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {LATEST_SQL}, real AS (SELECT DISTINCT title FROM pages WHERE title IS NOT NULL), step AS (SELECT a.title, min(p.title) AS target FROM aliases a JOIN pages p USING (page_id) WHERE a.title IS NOT NULL AND p.title IS NOT NULL GROUP BY 1),
+walk AS (SELECT title, target, 1 AS hops FROM step UNION ALL SELECT w.title, s.target, w.hops + 1 FROM walk w JOIN step s ON s.title = w.target WHERE w.hops <= (SELECT count(*) FROM step)),
+ended AS (SELECT * FROM walk WHERE target NOT IN (SELECT title FROM step))
+SELECT s.title, e.target, e.hops, CASE WHEN e.title IS NULL THEN 'cycle' WHEN e.target IN (SELECT title FROM real) THEN 'resolved' ELSE 'missing' END AS outcome FROM step s LEFT JOIN ended e USING (title)""")
 def j13_redirect_chains(spark, d):
+    """The target of a cycle is null: where in it the pointers have stopped tells nothing."""
     p = pages(spark, d).select("page_id", "title").filter("title is not null")
     hops = table(spark, d, "aliases").filter("title is not null").join(p.withColumnRenamed("title", "target"), "page_id").select("title", "target")
-    return links.redirect_chains(p.select("title"), hops)
+    chains = links.redirect_chains(p.select("title"), hops)
+    return chains.withColumn("target", F.when(F.col("outcome") != "cycle", F.col("target")))
 
 
 @query()

@@ -20,7 +20,7 @@ def test_keys_and_variants(spark):
     assert one(spark, "Orb （film）", strings.parenthetical_base) == "Orb" and one(spark, "Orb", strings.parenthetical_base) is None
     assert one(spark, "ab-c 1", strings.backend_key) == "ＡＢＣ１" and one(spark, "-' ", strings.backend_key) is None
     assert one(spark, "𠀋x", strings.code_point_fallback) == "[U+2000B]"
-    r = spark.createDataFrame([("東京", "東京（とうきょう、英: Tokyo）は"), ("x", "y")], "t string, b string").select(strings.reading(F.col("t"), F.col("b")).alias("r")).collect()
+    r = spark.createDataFrame([("東京", "東京（とうきょう、英: Tokyo）は"), ("x", "y")], "t string, b string").select(strings.reading(F.col("t"), F.array("b")).alias("r")).collect()
     assert [x["r"] for x in r] == ["とうきょう", None]
 
 
@@ -28,13 +28,14 @@ def test_readings_anywhere_in_the_lead(spark, monkeypatch):
     rows = [
         ("X", "Lead. " * 1000 + "X（えっくす）", "えっくす"),
         ("X (film)", "X（エックス）", "えっくす"),
-        ("X (film)", "X (film)（えっくす）", "えっくす"),
+        ("X (film)", "X (film)（えっくす）", None),  # only the name without its bracket counts, as in the reference
         ("X", "X (1990), later 『X』（えっくす）", "えっくす"),
-        ("X", "X (left open, X（えっくす）", "えっくす"),
+        ("X", "X (left open, X（えっくす）", None),  # one bracket up to its first closing sign
         ("X", "X（Ex／えっくす）", "えっくす"),
         ("X", "# X\n\nLead.\n\n## Name\n\nX（えっくす）", None),
         ("X", "Lead.\n\n■ Name\n\nX（えっくす）", None),
         ("X", "Lead.\n\n== Name ==\n\nX（えっくす）", None),
+        ("X", "X (1) X（えっくす）", "えっくす"),
         ("X", "```\n\n# no heading\n\n```\n\nX（えっくす）", "えっくす"),
         ("", "（えっくす）", None), ("(film)", "（えっくす）", None), (None, "X", None), ("X", None, None),
     ]
@@ -141,3 +142,23 @@ def test_comparison(spark):
     assert (s["total"], s["false_positives"], s["missing"], s["passed"]) == (3, 1, 1, False)
     diff = compare.chunk_diff(spark.createDataFrame([("1", 5, "a"), ("2", 5, "b")], "chunk_key string, size_bytes bigint, sha256 string"), spark.createDataFrame([("2", 7, "c"), ("3", 1, "d")], "chunk_key string, size_bytes bigint, sha256 string"))
     assert tuple(compare.diff_summary(diff).first()) == (1, 1, 1, 0, -2)
+
+
+READINGS = [
+    ("東京", ["東京（とうきょう、英: Tokyo）は"], "とうきょう"), ("林檎 (果物)", ["林檎（りんご）は果物"], "りんご"), ("林檎（果物）", ["『林檎』（リンゴ）"], "りんご"), ("a", ["a (b) と a (あ)"], "あ"),
+    ("a", ["x", "a（b[1]／[12]かな[3] , 後）"], "かな"), ("a", ["a（か・な）a（か な）"], None), ("a", ["a（b；かな）"], None), ("a", ["a（" + "b" * 126 + "、か）"], "か"), ("a", ["a（" + "b" * 127 + "、か）"], None),
+    ("a\\E.b", ["a\\E.b（かな）"], "かな"), ("a.b", ["axb（かな）"], None), ("a", ["a\u3000（ ヴァヶ、x）"], "ゔぁゖ"), ("a", ["a[1]（かな）"], None), ("a (b)", ["a (b)（かな）"], None), ("(b)", ["(b)（かな）"], None),
+    ("a", ["a", "（かな）"], None), ("a", [], None), (None, ["a（かな）"], None), ("a", None, None), ("a", ["言葉" * 5000 + "a（かな）"], "かな"), ("A", ["a（かな）"], None), ("a", ["a（[x]かな、かな）"], "かな"),
+]
+
+
+def test_readings(spark):
+    df = spark.createDataFrame([(i, t, p) for i, (t, p, _) in enumerate(READINGS)], "i int, t string, p array<string>")
+    got = {r["i"]: r["r"] for r in df.select("i", strings.reading(F.col("t"), F.col("p")).alias("r")).collect()}
+    assert [got[i] for i in range(len(READINGS))] == [want for _, _, want in READINGS]
+
+
+def test_lead_text(spark):
+    texts = ["a\n\n## B\n\nc", "a\n\n== B ==\n\nc", "a\n```\nx（かな）\n```\nb", "a\n## no\nb", None, ""]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(strings.lead_text(F.col("t"))).collect()]
+    assert got == ["a", "a", "a\n\nb", "a\n## no\nb", None, ""]

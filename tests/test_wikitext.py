@@ -48,3 +48,11 @@ def test_observation_and_log(spark):
 def test_unrepresentable(spark):
     df = spark.createDataFrame([("a𠀋あ€",), (None,), ("abc",)], "t string")
     assert [r["v"] for r in df.select(charset.unrepresentable(F.col("t")).alias("v")).collect()] == [["𠀋", "€"], None, []]
+
+
+def test_bars_inside_links_and_templates_are_text():
+    table = "{| class='x'\n|+ cap\n! a !! style='b' | c\n|-\n| [[d|e]] || {{f|g||h}} || class='i' | [[j|k]]\n|-\n|\n|}"
+    assert wikitext.parse_table(table) == ([["+ cap", "a", "c"], ["[[d|e]]", "{{f|g||h}}", "[[j|k]]"], [""]], None)
+    assert wikitext.parse_table("{|\n| a") == ([], "TABLE_PARSE_FAILED") and wikitext.parse_table("{|\n|}") == ([], None) and wikitext.parse_table("") == ([], "TABLE_PARSE_FAILED")
+    rows, problem = wikitext.parse_table("{|\n" + "|-\n| x\n" * 101 + "|}")
+    assert len(rows) == 100 and problem == "TABLE_TRUNCATED"
