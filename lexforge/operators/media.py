@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Columns of a fetch's outcomes, one JSON line each.
+OUTCOME = "source_url string, status string, content_sha256 string, at string"
 _UNSAFE_SVG = ("script", "foreignobject")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from lexforge.functions.strings import Key, index_key, nfkc_title
 from lexforge.functions.times import iso_instant, utc_wall
 from lexforge.functions.urls import base_url
 from lexforge.operators import delivery, html, ingest, links, media, render, search, verify
-from lexforge.session import materialize
+from lexforge.session import materialize, shared_folder
 
 
 @dataclass
@@ -63,18 +64,22 @@ def run_ingest(records: DataFrame, *, arrival: list[str], limits: ingest.Limits
     else:
         winners = ingest.latest_states(narrow, key="page_id", revision="revision_id", arrival=arrival).select(F.col("page_id").alias("identifier"), *arrival)
         accepted = sound.join(winners, ["identifier", *arrival], "left_semi").select(*sound.columns)
-    _, bridge = ingest.licenses(accepted, arrival=arrival[0])
     return Raw(
         accepted,
         checked.filter("not _known or ingest_status = 'rejected'").drop("_known"),
-        ingest.explode_children(accepted, "redirects", key=key),
-        ingest.explode_children(accepted, "categories", key=key),
-        bridge.select(F.col("_page").alias("page_id"), "ordinal", F.col("identifier").alias("license_id"), "url"),
+        *child_tables(accepted, arrival=arrival, key=key),
         ingest.dedup_audit(narrow, key="page_id", revision="revision_id", content_hash="source_hash", arrival=arrival),
         ingest.diagnostics(checked),
     )
 
 
+def child_tables(accepted: DataFrame, *, arrival: list[str], key: Key = nfkc_title) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(redirects, categories, licenses) of the accepted articles."""
+    _, bridge = ingest.licenses(accepted, arrival=arrival[0])
+    licenses = bridge.select(F.col("_page").alias("page_id"), "ordinal", F.col("identifier").alias("license_id"), "url")
+    return ingest.explode_children(accepted, "redirects", key=key), ingest.explode_children(accepted, "categories", key=key), licenses
+
+
 def run_normalize(raw: Raw, *, options: html.Options = html.Options(), key: Key = nfkc_title) -> Model:
     """Document model of the accepted articles, with links resolved against titles and redirects."""
     bodies = raw.articles.select(F.col("identifier").alias("page_id"), F.col("article_body.html").alias("html"), "url")
@@ -106,15 +111,15 @@ def run_generate(raw: Raw, model: Model, *, max_terms: int = 64, key: Key = inde
 
 
 def build(spark: SparkSession, records: DataFrame, *, arrival: list[str], output: str | None = None) -> Generated:
-    """All stages; with ``output`` the tables are written below it."""
-    raw = run_ingest(records, arrival=arrival)
-    model = run_normalize(raw)
-    out = run_generate(raw, model)
+    """All stages; with ``output`` the tables are written below it, see plans.pipeline."""
     if output:
-        for name, df in {"raw/articles": raw.articles, "raw/rejected": raw.rejected, "raw/duplicates": raw.audit, "model/articles": model.articles, "model/links": model.links, "model/media": model.media, "search_terms": out.terms}.items():
-            df.write.mode("overwrite").parquet(f"{output}/{name}")
-        render.write_entries(out.entries, f"{output}/entries")
-    return out
+        from lexforge.plans import pipeline
+
+        made = pipeline.Build(spark, output, lambda: records, arrival)
+        made.run(force="ingest", control=f"{shared_folder(spark).removeprefix('file:')}/build-{uuid.uuid4().hex}")
+        return Generated(made.table("search_terms"), made.entries(), made.table("issues"))
+    raw = run_ingest(records, arrival=arrival)
+    return run_generate(raw, run_normalize(raw))
 
 
 def plan_media(model: Model) -> DataFrame:

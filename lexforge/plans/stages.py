@@ -6,7 +6,7 @@ import fcntl
 import json
 import shutil
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
@@ -89,6 +89,7 @@ def stages_from(first: str) -> tuple[str, ...]:
 @contextmanager
 def stage_lock(path: str) -> Iterator[None]:
     """Exclusive lock of a stage on this machine; taken already is an error."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "w") as f:
         try:
             fcntl.flock(f, fcntl.LOCK_EX | fcntl.LOCK_NB)
@@ -101,8 +102,11 @@ def stage_lock(path: str) -> Iterator[None]:
 
 
 @contextmanager
-def running(stage: str, path: str, *, stage_version: int, inputs: dict[str, str], output: str) -> Iterator[dict[str, Any]]:
-    """Manifest life cycle around a stage: running, then complete with the output's fingerprint, or failed."""
+def running(stage: str, path: str, *, stage_version: int, inputs: dict[str, str], output: str | None = None, fingerprint: Callable[[], str | None] | None = None) -> Iterator[dict[str, Any]]:
+    """Manifest life cycle around a stage: running, then complete with the output's fingerprint, or failed.
+
+    The fingerprint is that of the local folder ``output`` unless ``fingerprint`` gives another one.
+    """
     began, metrics = now(), {}
     write_manifest(Manifest(stage, stage_version, "running", inputs, None, began), path)
     try:
@@ -110,7 +114,8 @@ def running(stage: str, path: str, *, stage_version: int, inputs: dict[str, str]
     except BaseException:
         write_manifest(Manifest(stage, stage_version, "failed", inputs, None, began, now(), metrics), path)
         raise
-    write_manifest(Manifest(stage, stage_version, "complete", inputs, dataset_fingerprint(output), began, now(), metrics), path)
+    made = fingerprint() if fingerprint else dataset_fingerprint(output)
+    write_manifest(Manifest(stage, stage_version, "complete", inputs, made, began, now(), metrics), path)
 
 
 def removable_runs(directory: str, *, keep: int) -> list[Path]:

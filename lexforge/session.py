@@ -5,11 +5,13 @@ Nothing here starts a cluster; every function takes the caller's SparkSession.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     )
 
 
+def session(memory: str = "8g") -> SparkSession:
+    """The session that ``spark-submit`` or the surroundings configure; without a master, one on this machine."""
+    if SparkSession.getActiveSession() is None and not SparkConf().contains("spark.master") and "MASTER" not in os.environ and "SPARK_REMOTE" not in os.environ:
+        return local_session(memory=memory)
+    return SparkSession.builder.appName("lexforge").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per context, so they need no installation of it."""
     context = spark.sparkContext

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import tarfile
 import tomllib
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from itertools import islice
 from pathlib import Path, PurePosixPath
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lexforge.functions.hashing import canonical_json, file_fingerprint
+from lexforge.sources.records import max_line_bytes, tar_lines
 from lexforge.sources.schema import LOCK
 
 
@@ -70,13 +73,26 @@ def register_local(files: list[str], *, project: str, namespace: int, snapshot_i
     }
 
 
-def inspect_source(lock: dict[str, Any], root: str) -> list[dict[str, Any]]:
-    """(relative_path, present, size_ok, sha256_ok) of each file of a lock."""
+def inspect_source(lock: dict[str, Any], root: str, *, sample: int = 0) -> list[dict[str, Any]]:
+    """(relative_path, present, size_ok, sha256_ok, problem, records) of each file of a lock.
+
+    ``problem`` says what is wrong with the archive's members, null if nothing is; ``records`` are the identifiers and
+    names of its first ``sample`` records. Without a sample only the files' sizes and hashes are checked.
+    """
     out = []
     for f in lock["files"]:
         p = Path(root, f["relative_path"])
         size, digest = file_fingerprint(str(p)) if p.is_file() else (None, None)
-        out.append({"relative_path": f["relative_path"], "present": p.is_file(), "size_ok": size == f["size_bytes"], "sha256_ok": digest == f["sha256"]})
+        problem, found = None, []
+        if sample and p.is_file():
+            try:
+                with open(p, "rb") as stream:
+                    for line in islice(tar_lines(stream, max_line_bytes()), sample):
+                        record = json.loads(line)
+                        found.append({"identifier": record.get("identifier"), "name": record.get("name")})
+            except (ValueError, OSError, EOFError, tarfile.TarError, AttributeError) as e:
+                problem = f"{type(e).__name__}: {e}"
+        out.append({"relative_path": f["relative_path"], "present": p.is_file(), "size_ok": size == f["size_bytes"], "sha256_ok": digest == f["sha256"], "problem": problem, "records": found})
     return out
 
 

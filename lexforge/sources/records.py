@@ -43,6 +43,16 @@ def tar_lines(stream: io.BufferedIOBase, cap: int) -> Iterator[bytes]:
             raise ValueError("the archive has no member")
 
 
+def open_stream(path: str) -> io.BufferedIOBase:
+    """A file as a stream of bytes: a local path, or an address of a store that Arrow reads (file, hdfs, s3, gs)."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(inner, compression=None)
+
+
 class _Chunk(InputPartition):
     def __init__(self, ordinal: int, path: str):
         self.ordinal, self.path = ordinal, path
@@ -57,7 +67,7 @@ class _ChunkReader(DataSourceReader):
         return [_Chunk(i, p) for i, p in enumerate(self.paths)]
 
     def read(self, part: _Chunk):
-        with open(part.path.removeprefix("file://"), "rb") as f:
+        with open_stream(part.path) as f:
             for no, line in enumerate(tar_lines(f, self.cap)):
                 yield part.ordinal, no, line.decode("utf-8", "replace")
 
