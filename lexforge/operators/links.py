@@ -77,15 +77,22 @@ def redirect_chains(titles: DataFrame, redirects: DataFrame, *, max_hops: int |
     """
     real = titles.select("title").distinct()
     step = materialize(redirects.filter("title is not null and target is not null").groupBy("title").agg(F.min("target").alias("target")), "redirects")
-    again = step.select(F.col("title").alias("target"), F.lit(True).alias("_again"))
+    total = step.count()
+
+    def followed(rows: DataFrame, pointers: DataFrame) -> DataFrame:
+        """``rows`` with what ``pointers`` (target, ...) tell of their targets; a target that many rows share is not shuffled."""
+        asked = rows.groupBy("target").agg(F.count(F.lit(1)).alias("_n")).join(pointers, "target", "left")
+        return attach(rows, materialize(asked, "targets"), ["target"], weight="_n", total=total)
+
     # a pointer that has left the redirects is done; the others go on, and their targets may be done or not
-    state = materialize(step.join(again, "target", "left").select("title", "target", F.lit(1).cast("bigint").alias("hops"), F.col("_again").isNotNull().alias("_on")), "hops")
+    again = step.select(F.col("title").alias("target"), F.lit(True).alias("_again"))
+    state = materialize(followed(step, again).select("title", "target", F.lit(1).cast("bigint").alias("hops"), F.col("_again").isNotNull().alias("_on")), "hops")
     before, left = -1, state.filter("_on").count()
     while left and left != before:
         nxt = state.select(F.col("title").alias("target"), F.col("target").alias("_further"), F.col("hops").alias("_more"), F.col("_on").alias("_next"))
-        further = state.join(nxt, "target", "left")
+        further = followed(state, nxt)
         state = materialize(further.select("title", F.coalesce("_further", "target").alias("target"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"), F.coalesce("_next", F.lit(False)).alias("_on")), "hops")
         before, left = left, state.filter("_on").count()
-    there = state.join(real.select(F.col("title").alias("target"), F.lit(True).alias("_real")), "target", "left")
+    there = followed(state, real.select(F.col("title").alias("target"), F.lit(True).alias("_real")))
     outcome = F.when(F.col("_on"), "cycle").when(F.col("hops") > max_hops if max_hops is not None else F.lit(False), "too_long").when(F.col("_real"), "resolved").otherwise("missing")
     return there.select("title", "target", F.when(outcome != "cycle", F.col("hops").cast("int")).alias("hops"), outcome.alias("outcome"))

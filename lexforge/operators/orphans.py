@@ -56,6 +56,18 @@ def entry_names(entries: DataFrame) -> DataFrame:
     return entries.filter("tag is not null").select("tag", names.alias("name")).filter("name is not null").distinct()
 
 
+def parent_spans(entries: DataFrame) -> DataFrame:
+    """(table_name, key, spans): the keys that references of each table need, with the month ranges in which they exist.
+
+    A key shared by many entries has their distinct ranges, which the number of months bounds.
+    """
+    slim = entries.select("tag", "title", "aliases", "rendered_at", "is_deleted")
+    intervals = presence_intervals(slim)
+    by_tag = intervals.select(F.lit("entries").alias("table_name"), F.col("tag").alias("key"), "month_from", "month_to")
+    by_name = entry_names(slim).join(intervals, "tag").select(F.lit("links").alias("table_name"), F.col("name").alias("key"), "month_from", "month_to")
+    return by_tag.unionByName(by_name).groupBy("table_name", "key").agg(F.collect_set(F.struct("month_from", "month_to")).alias("spans"))
+
+
 def link_key(title: Column) -> Column:
     """A link title as a lookup key: underscores are blanks, blanks at the ends (of any kind) do not count."""
     return F.btrim(F.translate(title, "_", " "), F.lit(BLANKS))
@@ -80,17 +92,17 @@ def _hashes(*columns: Column) -> tuple[Column, Column]:
 
 
 def build_bloom(keys: DataFrame, columns: list[str], *, expected: int, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Bloom filter over the distinct rows of ``columns`` as an array of 64-bit words on the driver (at most max_bits / 8 bytes).
+    """Bloom filter over the rows of ``columns`` as an array of 64-bit words on the driver (at most max_bits / 8 bytes).
 
-    The bits are set by a distributed bit_or per word, so the driver receives the finished words, never the keys.
+    The bits are set by a distributed bit_or per word, combined on the map side, so the driver receives the finished
+    words, never the keys. Repeated rows set the same bits.
     """
     bits = min(max_bits, 1 << max(10, math.ceil(math.log2(max(1, expected) * 10))))
     a, b = _hashes(*[F.col(c) for c in columns])
     probe = F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(PROBES)]))
     position = (F.col("_a") + F.col("_b") * F.col("_i")).bitwiseAND(F.lit(bits - 1))
-    with_hash = keys.select(a.alias("_a"), b.alias("_b")).distinct().select("_a", "_b", probe.alias("_i"))
     # ANSI overflow is avoided by halving the hashes before they are combined
-    with_hash = with_hash.withColumn("_a", F.shiftright("_a", 8)).withColumn("_b", F.shiftright("_b", 8))
+    with_hash = keys.select(F.shiftright(a, 8).alias("_a"), F.shiftright(b, 8).alias("_b"), probe.alias("_i"))
     words = with_hash.select(position.alias("_p")).select(F.shiftright("_p", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_p") % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     got = words.toArrow()
     out = np.zeros(bits // 64, dtype=np.int64)
@@ -124,27 +136,20 @@ def orphan_references(entries: DataFrame, links: DataFrame, *, max_bits: int = M
     left out, since no period can be named for it.
     """
     spark = entries.sparkSession
-    intervals = presence_intervals(entries)
-    by_tag = intervals.select(F.lit("entries").alias("table_name"), F.col("tag").alias("key"), "month_from", "month_to")
-    by_name = entry_names(entries).join(intervals, "tag").select(F.lit("links").alias("table_name"), F.col("name").alias("key"), "month_from", "month_to")
-    parents = by_tag.unionByName(by_name).distinct()
-    refs = references(entries, links)
-    keys = intervals.select(F.lit("entries").alias("table_name"), F.col("tag").alias("key")).unionByName(entry_names(entries).select(F.lit("links").alias("table_name"), F.col("name").alias("key")))
-    sizes = entries.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.size("aliases"), F.lit(0)))).first()
-    bloom = build_bloom(keys, ["table_name", "key"], expected=2 * (sizes[0] or 0) + max(0, sizes[1] or 0), max_bits=max_bits)
+    # one row per parent key with its spans; read by the filter and by the verification, so it is written once
+    parents = materialize(parent_spans(entries), "parents")
+    bloom = build_bloom(parents, ["table_name", "key"], expected=parents.count(), max_bits=max_bits)
     # both verdicts, the verification and its return read the probed references, so they are written once
-    probed = materialize(refs.withColumn("ref_month", F.coalesce("ref_month", F.lit(NEVER))).withColumn("_maybe", probe_bloom(spark, bloom, ["table_name", "key"])), "references")
+    refs = references(entries, links).withColumn("ref_month", F.coalesce("ref_month", F.lit(NEVER)))
+    probed = materialize(refs.withColumn("_maybe", probe_bloom(spark, bloom, ["table_name", "key"])), "references")
     definite = probed.filter("not _maybe").drop("_maybe")
     doubtful = probed.filter("_maybe").drop("_maybe")
     asked = doubtful.groupBy("table_name", "key", "ref_month").agg(F.count(F.lit(1)).alias("n"))
-    p = parents.select(F.col("table_name").alias("_t"), F.col("key").alias("_k"), "month_from", "month_to")
-    there = asked.join(
-        p,
-        (F.col("table_name") == F.col("_t")) & (F.col("key") == F.col("_k")) & ((F.col("ref_month") == NEVER) | ((F.col("month_from") <= F.col("ref_month")) & (F.col("ref_month") < F.col("month_to")))),
-        "left_semi",
-    )
+    inside = F.exists("spans", lambda s: (F.col("ref_month") == NEVER) | ((s["month_from"] <= F.col("ref_month")) & (F.col("ref_month") < s["month_to"])))
     on = ["table_name", "key", "ref_month"]
-    verdicts = materialize(asked.join(there.select(*on, F.lit(True).alias("there")), on, "left"), "verdicts")
+    # the exact equi-join of the distinct filter-positive keys, one row for each of them
+    judged = asked.join(parents, ["table_name", "key"], "left").select(*on, "n", F.when(F.coalesce(inside, F.lit(False)), True).alias("there"))
+    verdicts = materialize(judged, "verdicts")
     lost = verdicts.filter("there is null").select(*on)
     if lost.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         verified = doubtful.join(F.broadcast(lost), on, "left_semi")
