@@ -49,6 +49,8 @@ s AS (
   WHERE f.identifier IS NOT NULL AND f.version IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY o.no, f.identifier ORDER BY f.version DESC) = 1)"""
 
+INSTANT = r"""try_cast(CASE WHEN regexp_matches(u, '^\d{8}T\d{6}Z$') THEN regexp_replace(u, '^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})Z$', '\1-\2-\3T\4:\5:\6Z')
+    WHEN regexp_matches(u, '(Z|[+-]\d{2}:\d{2})$') THEN u ELSE u || 'Z' END AS timestamptz)"""
 _P3_RANKED = r"""
 WITH t AS (
   SELECT *, upper(trim(date_modified)) AS u FROM edge_case_articles WHERE identifier IS NOT NULL AND version.identifier + 0 IS NOT NULL),

@@ -5,7 +5,11 @@ from __future__ import annotations
 import io
 import tarfile
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -53,6 +57,18 @@ def open_stream(path: str) -> io.BufferedIOBase:
     return system.open_input_stream(inner, compression=None)
 
 
+def create_stream(path: str) -> io.BufferedIOBase:
+    """A new file as a stream, with the folders above it; the counterpart of ``open_stream``."""
+    if "://" not in path:
+        Path(path).parent.mkdir(parents=True, exist_ok=True)
+        return open(path, "wb")
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    system.create_dir(inner.rsplit("/", 1)[0])
+    return system.open_output_stream(inner, compression=None)
+
+
 class _Chunk(InputPartition):
     def __init__(self, ordinal: int, path: str):
         self.ordinal, self.path = ordinal, path
@@ -92,6 +108,48 @@ def read_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("ndjson_chunks").option("paths", ",".join(paths)).load()
 
 
+class _Lines(io.RawIOBase):
+    """Lines as a readable stream, so that an archive member is written as they come."""
+
+    def __init__(self, lines: Iterator[str]):
+        self.lines, self.rest = lines, b""
+
+    def read(self, size: int = -1) -> bytes:
+        parts, n = [self.rest], len(self.rest)
+        while (size < 0 or n < size) and (line := next(self.lines, None)) is not None:
+            parts.append(line.encode() + b"\n")
+            n += len(parts[-1])
+        data = b"".join(parts)
+        cut = len(data) if size < 0 else size
+        self.rest = data[cut:]
+        return data[:cut]
+
+
+def write_chunks(lines: DataFrame, folder: str, *, chunks: int, column: str = "value") -> list[str]:
+    """Write lines as at most ``chunks`` tar.gz files of one NDJSON member each below ``folder``; their paths in order.
+
+    Lines are dealt out by their hash, each file is streamed by one task to storage that all workers see, and a repeated
+    attempt writes the same file again. Null lines are left out.
+    """
+    base = folder.removeprefix("file://").removeprefix("file:")
+    dealt = lines.filter(F.col(column).isNotNull()).select(F.pmod(F.xxhash64(column), F.lit(chunks)).cast("int").alias("_n"), F.col(column).alias("_line"))
+    # a member's size stands before its bytes; one number per chunk reaches the driver
+    sizes = {r["_n"]: r["s"] for r in dealt.groupBy("_n").agg(F.sum(F.octet_length("_line") + 1).alias("s")).collect()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for number, own in groupby(rows, key=itemgetter(0)):
+            path = f"{base}/chunk_{number:05d}.tar.gz"
+            with create_stream(path) as out, tarfile.open(fileobj=out, mode="w|gz") as archive:
+                info = tarfile.TarInfo(f"chunk_{number:05d}.ndjson")
+                info.size = sizes[number]
+                archive.addfile(info, _Lines(line for _, line in own))
+            yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    spread = dealt.repartition(chunks, "_n").sortWithinPartitions("_n")
+    return sorted(r["path"] for r in spread.mapInArrow(run, "path string").collect())
+
+
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     """(value, chunk_ordinal, line_no) of plain NDJSON; only LF parts records, so U+2028 inside a string is safe.
 
