@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions import strings, urls
-from lexforge.operators import compare, media, render, search, wikitext
+from lexforge.operators import compare, html, media, render, search, wikitext
 from lexforge.plans.corpus import INSTANT
 from lexforge.plans.records_queries import LATEST_SQL, page_bodies, pages
-from lexforge.plans.search_queries import _SEARCH, _word_terms
+from lexforge.plans.search_queries import _SEARCH, _model, _word_terms
 from lexforge.plans.sqltext import FOLDING, sql_key, sql_strip
 from lexforge.session import materialize, shared_folder, table
 from lexforge.sources import records
@@ -162,15 +162,15 @@ def w06_section_numbers(spark, d):
 # Fetch bookkeeping
 
 _PLANNED = "pl AS (SELECT DISTINCT coalesce(nullif(image.content_url, ''), nullif(image.url, '')) AS source_url FROM normal_articles WHERE coalesce(nullif(image.content_url, ''), nullif(image.url, '')) IS NOT NULL)"
-_OUTCOMES = "oc AS (SELECT coalesce(nullif(image.content_url, ''), nullif(image.url, '')) AS source_url, CASE WHEN version.identifier IS NULL THEN 'failed' ELSE 'ok' END AS status, sha256(name) AS content_sha256, printf('%s/%020d', snapshot_identifier, identifier) AS seen FROM normal_articles WHERE name IS NOT NULL AND identifier IS NOT NULL)"
+_OUTCOMES = "oc AS (SELECT coalesce(nullif(image.content_url, ''), nullif(image.url, '')) AS source_url, CASE WHEN version.identifier IS NULL OR length(name) % 2 = 1 THEN 'failed' ELSE 'ok' END AS status, sha256(name) AS content_sha256, printf('%s/%020d', snapshot_identifier, identifier) AS seen FROM normal_articles WHERE name IS NOT NULL AND identifier IS NOT NULL)"
 
 
 def _fetches(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Planned addresses, and outcomes made of the rows that name them: failed for rows without a version."""
+    """Planned addresses, and outcomes made of the rows that name them: failed for rows without a version or with a name of odd length."""
     url = F.coalesce(F.nullif(F.col("image.content_url"), F.lit("")), F.nullif(F.col("image.url"), F.lit("")))
     rows = table(spark, d, "normal_articles").withColumn("source_url", url)
     made = rows.filter("name is not null and identifier is not null").select(
-        "source_url", F.when(F.col("version.identifier").isNull(), "failed").otherwise("ok").alias("status"), F.sha2("name", 256).alias("content_sha256"), F.concat("snapshot_identifier", F.lit("/"), F.lpad(F.col("identifier").cast("string"), 20, "0")).alias("at")
+        "source_url", F.when(F.col("version.identifier").isNull() | (F.length("name") % 2 == 1), "failed").otherwise("ok").alias("status"), F.sha2("name", 256).alias("content_sha256"), F.concat("snapshot_identifier", F.lit("/"), F.lpad(F.col("identifier").cast("string"), 20, "0")).alias("at")
     )
     return rows.select("source_url").filter("source_url is not null").distinct(), made
 
@@ -229,3 +229,62 @@ def s01_chunk_round_trip(spark, d):
     paths = records.write_chunks(_lines(spark, d).select("value"), folder, chunks=4)
     parsed = records.parse_records(records.read_chunks(spark, paths), "chunk_ordinal", "line_no")
     return parsed.select("identifier", F.col("version.identifier").alias("version"), "name", "reject_reason")
+
+
+# Readings of the document model
+
+
+# The tree of a body as a fold over its tags: the elements around, and what has been met so far.
+_TOKENS = r"(?is)<!--.*?-->|<!\w[^>]*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z][^<>]*>"
+_TAG = r"lower(regexp_extract(x, '^</?([A-Za-z][^\s/>]*)', 1))"
+_ALONE = "('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr')"
+_TREE = rf"""{LATEST_SQL}, tk AS (SELECT page_id, regexp_extract_all(html, '{_TOKENS}') AS l FROM pages WHERE html IS NOT NULL),
+ev AS (SELECT page_id, list_transform(list_filter(l, lambda x: NOT starts_with(x, '<!')), lambda x: {{'tag': {_TAG}, 'raw': x, 'kind': CASE WHEN regexp_matches(x, '(?i)^<(script|style)') THEN 'both' WHEN starts_with(x, '</') THEN CASE WHEN {_TAG} IN {_ALONE} THEN 'none' ELSE 'end' END
+    WHEN ends_with(x, '/>') OR {_TAG} IN {_ALONE} THEN 'alone' ELSE 'start' END, 'stack': []::VARCHAR[], 'made': []::VARCHAR[], 'lost': []::VARCHAR[]}}) AS l FROM tk),
+fo AS (SELECT page_id, list_reduce(list_prepend({{'tag': '', 'raw': '', 'kind': '', 'stack': []::VARCHAR[], 'made': []::VARCHAR[], 'lost': []::VARCHAR[]}}, l), lambda a, x: {{'tag': '', 'raw': '', 'kind': '',
+  'stack': CASE WHEN x.kind = 'start' THEN list_append(a.stack, x.tag) WHEN x.kind = 'end' AND list_contains(a.stack, x.tag) THEN a.stack[1:len(a.stack) - list_position(list_reverse(a.stack), x.tag)] ELSE a.stack END,
+  'made': CASE WHEN x.kind IN ('start', 'alone', 'both') THEN list_append(a.made, array_to_string(a.stack, '/') || chr(31) || x.tag || chr(31) || CASE WHEN x.tag = 'a' THEN x.raw ELSE '' END) ELSE a.made END,
+  'lost': CASE WHEN x.kind = 'end' AND NOT list_contains(a.stack, x.tag) THEN list_append(a.lost, 'DOM_UNMATCHED_END_TAG ' || x.tag) WHEN x.kind = 'end' THEN list_concat(a.lost, list_transform(list_reverse(a.stack)[1:list_position(list_reverse(a.stack), x.tag) - 1], lambda t: 'DOM_UNCLOSED_TAG ' || t)) ELSE a.lost END}}) AS f FROM ev),
+tree AS (SELECT page_id, f.made AS made, list_concat(f.lost, list_transform(list_reverse(f.stack), lambda t: 'DOM_UNCLOSED_TAG ' || t)) AS lost FROM fo)"""
+
+
+@query(f"WITH {_TREE}, e AS (SELECT page_id, unnest(made) AS m FROM tree) SELECT page_id, len(list_filter(string_split(split_part(m, chr(31), 1), '/'), lambda x: x <> ''))::INT AS depth, split_part(m, chr(31), 2) AS tag, count(*) AS n FROM e GROUP BY ALL")
+def h01_tree_elements(spark, d):
+    """Elements of each body's tree by depth and tag."""
+    return html.tree_elements(page_bodies(spark, d), key=["page_id"], html="html").groupBy("page_id", "depth", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_TREE}, e AS (SELECT page_id, unnest(lost) AS m FROM tree) SELECT page_id, split_part(m, ' ', 1) AS code, split_part(m, ' ', 2) AS element, count(*) AS n FROM e GROUP BY ALL")
+def h01_tree_problems(spark, d):
+    """What was wrong in the nesting of each body's tags."""
+    found = _model(spark, d).select("page_id", F.explode("problems").alias("p")).select("page_id", "p.code", "p.element").filter("code in ('DOM_UNCLOSED_TAG', 'DOM_UNMATCHED_END_TAG')")
+    return found.groupBy("page_id", "code", "element").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Where blocks stand, and what is no block of text there: headings keep their text only, other containers are not read.
+_OUTER = "('html', 'body', 'section', 'blockquote', 'dl', 'dd', 'table', 'thead', 'tbody', 'tr', 'td', 'th')"
+_UNREAD = "('h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'div', 'figure', 'article', 'aside', 'nav', 'header', 'footer', 'form', 'fieldset', 'pre')"
+
+
+@query(rf"""WITH {_TREE}, m AS (SELECT page_id, unnest(range(len(made))) AS pos, unnest(made) AS m FROM tree), w AS (SELECT page_id, pos, list_filter(string_split(split_part(m, chr(31), 1), '/'), lambda x: x <> '') AS path, regexp_extract(split_part(m, chr(31), 3), '(?i)\shref="([^"]*)"', 1) AS href FROM m WHERE split_part(m, chr(31), 2) = 'a'),
+v AS (SELECT *, list_filter(path, lambda x: x NOT IN {_OUTER})[1] AS inner_tag FROM w), e AS (SELECT page_id, pos, replace(replace(href, '&quot;', '"'), '&amp;', '&') AS u FROM v WHERE inner_tag IS NULL OR inner_tag NOT IN {_UNREAD}),
+q AS (SELECT *, CASE WHEN starts_with(u, './') THEN u[3:] WHEN starts_with(u, '/wiki/') THEN u[7:] END AS p FROM e), r AS (SELECT *, split_part(p, '?', 1) AS p2 FROM q WHERE p IS NOT NULL),
+t AS (SELECT *, {sql_strip("replace(url_decode(replace(split_part(p2, '#', 1), '+', '%2B')), '_', ' ')")} AS title0, CASE WHEN contains(p2, '#') THEN nullif(url_decode(regexp_extract(p2, '^[^#]*#(.*)$', 1)), '') END AS fragment FROM r)
+SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1)::INT AS ordinal, title0 AS title, fragment FROM t WHERE title0 <> ''""")
+def proj06_model_links(spark, d):
+    """Internal links of the document model, in document order; a heading keeps its text only."""
+    each = _model(spark, d).select("page_id", F.posexplode("links").alias("ordinal", "l"))
+    whole = F.when(F.col("l.namespace").isNotNull(), F.concat("l.namespace", F.lit(":"), "l.title")).otherwise(F.col("l.title"))
+    return each.select("page_id", "ordinal", whole.alias("title"), F.col("l.fragment").alias("fragment"))
+
+
+_KINDS = "MAP {'h1': 'heading', 'h2': 'heading', 'h3': 'heading', 'h4': 'heading', 'h5': 'heading', 'h6': 'heading', 'ul': 'unordered_list', 'ol': 'ordered_list', 'dl': 'definition_list', 'table': 'table', 'pre': 'preformatted', 'blockquote': 'quote', 'hr': 'horizontal_rule'}"
+
+
+@query(rf"""WITH {_TREE}, m AS (SELECT page_id, unnest(made) AS m FROM tree), w AS (SELECT page_id, list_filter(string_split(split_part(m, chr(31), 1), '/'), lambda x: x <> '') AS path, split_part(m, chr(31), 2) AS tag FROM m),
+k AS (SELECT page_id, tag, array_to_string(list_filter(path, lambda x: x NOT IN {_OUTER}), '/') AS inner_path FROM w WHERE tag IN (SELECT unnest(map_keys({_KINDS}))))
+SELECT page_id, element_at({_KINDS}, tag)[1] AS kind, count(*) AS n FROM k WHERE inner_path = '' OR (tag IN ('ul', 'ol') AND regexp_full_match(inner_path, '(?:[uo]l/li)(?:/[uo]l/li)*')) GROUP BY 1, 2""")
+def h04_block_counts(spark, d):
+    """Blocks of each page by kind, for the kinds that one tag makes."""
+    each = _model(spark, d).select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.kind")
+    return each.filter(F.col("kind").isin("heading", "unordered_list", "ordered_list", "definition_list", "table", "preformatted", "quote", "horizontal_rule")).groupBy("page_id", "kind").agg(F.count(F.lit(1)).alias("n"))
