@@ -70,7 +70,7 @@ def register_local_source(a) -> int:
 def inspect_source(a) -> int:
     found = locks.inspect_source(locks.read_lock(a.lock), a.root, sample=int(a.sample or 0))
     say(found)
-    return int(not all(f["size_ok"] and f["sha256_ok"] and not f["problem"] for f in found))
+    return int(not all(f["size_ok"] and f["sha256_ok"] and not f.get("problem") for f in found))
 
 
 def run_stages(a) -> int:

@@ -10,7 +10,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space of Unicode as a character class that both Java and RE2 read alike.
@@ -95,6 +95,12 @@ def variation_selectors(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"[\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}]"), F.lit(0))
 
 
+def selector_diagnostics(texts: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, ordinal, code_point, code): one row for each variation selector that ``safe_substitutions`` drops (X11)."""
+    each = texts.select(key, F.posexplode(variation_selectors(F.col(column))).alias("ordinal", "_s"))
+    return each.select(key, "ordinal", F.format_string("U+%04X", F.ascii("_s")).alias("code_point"), F.lit("TEXT_VARIATION_SELECTOR_REMOVED").alias("code"))
+
+
 def strip_keeping_markers(c: Column) -> Column:
     """Strip white space but keep the control markers 0x1E and 0x1F, which Python's strip would take."""
     return F.regexp_replace(c, r"^[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+|[ \t\n\r\f\x{0B}\x{3000}\x{A0}]+$", "")

@@ -221,13 +221,21 @@ def presence_mismatches(queries: DataFrame, hits: DataFrame) -> DataFrame:
     return joined.filter("present != expected_presence").select("query_key", "mode", "expected_presence", "present", F.lit("REF_QUERY_EXPECTATION_MISMATCH").alias("code"))
 
 
-def sample_entries(hits: DataFrame, entries: DataFrame, *, max_body: int = 4096) -> DataFrame:
-    """(page_id, excerpt, body_sha256, links, graphics, truncated) of rank-1 hits, each page once."""
+def sample_entries(hits: DataFrame, entries: DataFrame, *, max_body: int = 4096, diagnostics: DataFrame | None = None) -> DataFrame:
+    """(page_id, excerpt, body_sha256, links, graphics, truncated) of rank-1 hits, each page once.
+
+    With ``diagnostics`` (page_id, code) also ``codes``, the sorted distinct codes of the page, empty for none (J07).
+    """
     targets = hits.filter("rank = 1").select("page_id").distinct()
     body = F.coalesce(F.col("body"), F.lit(""))
-    return entries.join(targets, "page_id", "left_semi").select(
+    found = entries.join(targets, "page_id", "left_semi").select(
         "page_id", F.substring(body, 1, max_body).alias("excerpt"), F.sha2(body, 256).alias("body_sha256"), F.regexp_count(body, F.lit("\x1eR:")).alias("links"), F.regexp_count(body, F.lit("\x1eG:")).alias("graphics"), (F.length(body) > max_body).alias("truncated"),
     )
+    if diagnostics is None:
+        return found
+    # distinct codes are few, however often a page has them
+    codes = diagnostics.join(targets, "page_id", "left_semi").groupBy("page_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return found.join(codes, "page_id", "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>")))
 
 
 def query_frame(spark: SparkSession, queries: list[tuple[str, str, bool]], modes: tuple[str, ...] = ("word", "endword")) -> DataFrame:

@@ -11,7 +11,7 @@ from lexforge.functions import strings, urls
 from lexforge.operators import compare, html, media, render, search, wikitext
 from lexforge.plans.corpus import INSTANT
 from lexforge.plans.records_queries import LATEST_SQL, page_bodies, pages
-from lexforge.plans.search_queries import _SEARCH, _model, _word_terms
+from lexforge.plans.search_queries import _RUN, _SEARCH, _model, _run, _word_terms
 from lexforge.plans.sqltext import FOLDING, sql_key, sql_strip
 from lexforge.session import materialize, shared_folder, table
 from lexforge.sources import records
@@ -288,3 +288,26 @@ def h04_block_counts(spark, d):
     """Blocks of each page by kind, for the kinds that one tag makes."""
     each = _model(spark, d).select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.kind")
     return each.filter(F.col("kind").isin("heading", "unordered_list", "ordered_list", "definition_list", "table", "preformatted", "quote", "horizontal_rule")).groupBy("page_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"WITH s AS (SELECT doc_id, regexp_extract_all(text, '[\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}]') AS l FROM documents), e AS (SELECT doc_id, unnest(range(len(l)))::INT AS ordinal, unnest(l) AS c FROM s) SELECT doc_id, ordinal, printf('U+%04X', unicode(c)) AS code_point, 'TEXT_VARIATION_SELECTOR_REMOVED' AS code FROM e")
+def x11_selector_diagnostics(spark, d):
+    return strings.selector_diagnostics(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"""WITH {_RUN}, bo AS (SELECT page_id, arg_max(body, (rendered_at, body)) AS body FROM entries WHERE body IS NOT NULL GROUP BY 1), hit AS (SELECT DISTINCT page_id FROM r WHERE rank = 1),
+di AS (SELECT source_page_id AS page_id, list_sort(list(DISTINCT resolution)) AS codes FROM links WHERE resolution IS NOT NULL GROUP BY 1) SELECT bo.page_id, sha256(body) AS body_sha256, coalesce(codes, []) AS codes FROM bo JOIN hit USING (page_id) LEFT JOIN di USING (page_id)""")
+def j07_sampled_diagnostics(spark, d):
+    """Sampled entries with what is known of their pages' links."""
+    bodies = table(spark, d, "entries").filter("body is not null").groupBy("page_id").agg(F.max_by("body", F.struct("rendered_at", "body")).alias("body"))
+    notes = table(spark, d, "links").filter("resolution is not null").select(F.col("source_page_id").alias("page_id"), F.col("resolution").alias("code"))
+    return search.sample_entries(_run(spark, d), bodies, diagnostics=notes).select("page_id", "body_sha256", "codes")
+
+
+@query("""WITH u AS (SELECT identifier, coalesce(nullif(image.content_url, ''), nullif(image.url, '')) AS url, name FROM normal_articles), r AS (SELECT DISTINCT sha256(url) AS media_id, 'g-' || identifier AS name FROM u WHERE url IS NOT NULL AND identifier IS NOT NULL AND length(name) % 2 = 0)
+SELECT media_id, min(name) AS name FROM r WHERE name IN (SELECT 'g-' || page_id FROM aliases) GROUP BY 1""")
+def proj14_graphic_lookup(spark, d):
+    """A conversion report made of the pages' pictures against a catalog of the pages that have aliases."""
+    url = F.coalesce(F.nullif(F.col("image.content_url"), F.lit("")), F.nullif(F.col("image.url"), F.lit("")))
+    report = table(spark, d, "normal_articles").select(F.sha2(url, 256).alias("media_id"), F.concat(F.lit("g-"), F.col("identifier").cast("string")).alias("name"), F.when(F.length("name") % 2 == 0, "ok").otherwise("failed").alias("status"))
+    return render.graphic_lookup(report, table(spark, d, "aliases").select(F.concat(F.lit("g-"), F.col("page_id").cast("string")).alias("name")))

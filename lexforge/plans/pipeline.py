@@ -49,7 +49,10 @@ def stored_fingerprint(spark: SparkSession, paths: list[str]) -> str | None:
 
 @dataclass
 class Build:
-    """A build below ``output``; ``records`` gives the article records, ``inputs`` names what they were made of."""
+    """A build below ``output``; ``records`` gives the article records, ``inputs`` names what they were made of.
+
+    Tables are compressed by ``codec`` at ``level`` (S07).
+    """
 
     spark: SparkSession
     output: str
@@ -59,12 +62,14 @@ class Build:
     limits: ingest.Limits = ingest.Limits()
     options: html.Options = html.Options()
     max_terms: int = 64
+    codec: str = "zstd"
+    level: int = 6
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.output}/{name}")
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.output}/{name}")
+        df.write.mode("overwrite").option("compression", self.codec).option("parquet.compression.codec.zstd.level", str(self.level)).parquet(f"{self.output}/{name}")
         return self.table(name)
 
     def fingerprint(self, stage: str) -> str | None:

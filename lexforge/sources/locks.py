@@ -74,10 +74,10 @@ def register_local(files: list[str], *, project: str, namespace: int, snapshot_i
 
 
 def inspect_source(lock: dict[str, Any], root: str, *, sample: int = 0) -> list[dict[str, Any]]:
-    """(relative_path, present, size_ok, sha256_ok, problem, records) of each file of a lock.
+    """(relative_path, present, size_ok, sha256_ok) of each file of a lock.
 
-    ``problem`` says what is wrong with the archive's members, null if nothing is; ``records`` are the identifiers and
-    names of its first ``sample`` records. Without a sample only the files' sizes and hashes are checked.
+    With a ``sample`` the archives are opened, too: ``problem`` says what is wrong with their members, null if nothing is,
+    and ``records`` are the identifiers and names of the first ``sample`` records.
     """
     out = []
     for f in lock["files"]:
@@ -92,7 +92,8 @@ def inspect_source(lock: dict[str, Any], root: str, *, sample: int = 0) -> list[
                         found.append({"identifier": record.get("identifier"), "name": record.get("name")})
             except (ValueError, OSError, EOFError, tarfile.TarError, AttributeError) as e:
                 problem = f"{type(e).__name__}: {e}"
-        out.append({"relative_path": f["relative_path"], "present": p.is_file(), "size_ok": size == f["size_bytes"], "sha256_ok": digest == f["sha256"], "problem": problem, "records": found})
+        checked = {"relative_path": f["relative_path"], "present": p.is_file(), "size_ok": size == f["size_bytes"], "sha256_ok": digest == f["sha256"]}
+        out.append(checked | ({"problem": problem, "records": found} if sample else {}))
     return out
 
 
@@ -135,12 +136,41 @@ def _merge(base: dict, over: dict) -> dict:
     return {k: _merge(base[k], over[k]) if k in over and isinstance(base.get(k), dict) and isinstance(over[k], dict) else over.get(k, base.get(k)) for k in {**base, **over}}
 
 
+def is_within(path: Path, parent: Path) -> bool:
+    """Whether ``path`` is ``parent`` or below it."""
+    return path == parent or parent in path.parents
+
+
+# Fixed values: (what must hold, message) of settings; a rule about a missing value holds.
+_RULES = (
+    (lambda g: not (g("images", "enabled") is True and g("images", "max_per_article") == 0), "images.max_per_article must be positive when images are enabled"),
+    (lambda g: g("images", "fetch_concurrency") != 0, "images.fetch_concurrency must be positive"),
+    (lambda g: not (g("distribution", "mode") == "public" and g("images", "missing_license_action") == "warn"), "images.missing_license_action cannot be warn in public distribution"),
+    (lambda g: not (g("distribution", "mode") == "public" and g("distribution", "include_attribution_appendix") is not True), "distribution.include_attribution_appendix must be true in public distribution"),
+    (lambda g: not (g("distribution", "mode") == "public" and g("distribution", "exclude_images_without_license") is not True), "distribution.exclude_images_without_license must be true in public distribution"),
+)
+PROFILES = ("lite", "mini", "full")
+
+
 def load_settings(default: str, *overrides: str) -> Settings:
-    """TOML settings, later files over earlier ones key by key; negative numbers and unknown sections are errors."""
-    values = tomllib.loads(Path(default).read_text(encoding="utf-8"))
+    """TOML settings, later files over earlier ones key by key.
+
+    Relative ``paths`` are those of the file that names them. Negative numbers, unknown sections, unknown versions and
+    profiles, sources or output inside the reference folder and combinations that contradict each other are errors.
+    """
+
+
+    def read(name: str) -> dict[str, Any]:
+        at = Path(name).expanduser().resolve()
+        found = tomllib.loads(at.read_text(encoding="utf-8"))
+        if isinstance(found.get("paths"), dict):
+            found["paths"] = {k: str((at.parent / Path(v).expanduser()).resolve()) for k, v in found["paths"].items()}
+        return found
+
+    values = read(default)
     known = set(values)
     for o in overrides:
-        more = tomllib.loads(Path(o).read_text(encoding="utf-8"))
+        more = read(o)
         if extra := set(more) - known:
             raise ValueError(f"unknown sections {sorted(extra)}")
         values = _merge(values, more)
@@ -153,14 +183,50 @@ def load_settings(default: str, *overrides: str) -> Settings:
             raise ValueError(f"{at} is negative")
 
     check(values, "settings")
-    return Settings(values)
-
+    settings = Settings(values)
+    if values.get("schema_version", 1) != 1:
+        raise ValueError(f"unknown schema_version {values['schema_version']}")
+    if values.get("profile", PROFILES[0]) not in PROFILES:
+        raise ValueError(f"unknown profile {values['profile']!r}")
+    for holds, message in _RULES:
+        if not holds(settings.get):
+            raise ValueError(message)
+    paths = {k: Path(v) for k, v in values.get("paths", {}).items()}
+    for name in ("sources", "output"):
+        if name in paths and "reference" in paths and is_within(paths[name], paths["reference"]):
+            raise ValueError(f"paths.{name} must not be inside paths.reference")
+    return settings
+
+
+def inventory(spark: SparkSession, root: str, *, max_depth: int = 16, max_entries: int = 100_000, max_path_bytes: int = 4096) -> DataFrame:
+    """(path, relative, length, sha256) of all files below a folder (S26); deeper, more or longer names than allowed are an error."""
+    from pyspark.sql import functions as F
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length, sha256) of all files below a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = system.makeQualified(at).toString().rstrip("/") + "/"
+    listed: list[tuple[str, str, int]] = []
+    found = system.listFiles(at, True)
+    while found.hasNext():
+        f = found.next()
+        path = f.getPath().toString()
+        relative = path.removeprefix(base)
+        for what, value, cap in (("entries", len(listed) + 1, max_entries), ("levels", relative.count("/") + 1, max_depth), ("bytes of a path", len(relative.encode()), max_path_bytes)):
+            if value > cap:
+                raise ValueError(f"{root} has {value} {what}, more than {cap}")
+        listed.append((path, relative, f.getLen()))
+    # Spark reads no files without bytes, so the listing leads
+    rows = spark.createDataFrame(listed, "path string, relative string, length bigint")
+    hashes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.sha2("content", 256).alias("sha256"))
+    return rows.join(hashes, "path", "left").withColumn("sha256", F.when(F.col("length") == 0, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("sha256")))
+
+
+def folder_groups(files: DataFrame) -> DataFrame:
+    """(folder, files, bytes): an inventory's files by the folder at its top, '' for files beside them."""
     from pyspark.sql import functions as F
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    folder = F.when(F.col("relative").contains("/"), F.substring_index("relative", "/", 1)).otherwise("")
+    return files.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 def read_lock(path: str) -> dict[str, Any]:

@@ -97,3 +97,58 @@ def test_entry_issues(spark):
     got = sorted((r["code"], r["tag"], r["detail"]) for r in verify.entry_issues(df).na.fill("-").collect())
     assert [g[0] for g in got] == ["DUPLICATE_TAG", "EMPTY_TAG", "EMPTY_TAG", "EMPTY_TITLE", "UNKNOWN_TARGET", "UNKNOWN_TARGET", "UNKNOWN_TARGET"]
     assert verify.entry_issues(df.limit(0)).count() == 0
+
+
+def settings_of(tmp_path, text, *more):
+    files = []
+    for i, t in enumerate((text, *more)):
+        (tmp_path / f"s{i}.toml").write_text(t, encoding="utf-8")
+        files.append(str(tmp_path / f"s{i}.toml"))
+    return locks.load_settings(*files)
+
+
+SOUND = '[paths]\nsources = "src"\noutput = "/out"\nreference = "ref"\n[images]\nenabled = true\nmax_per_article = 3\nfetch_concurrency = 4\nmissing_license_action = "warn"\n[distribution]\nmode = "personal"\n'
+
+
+def test_settings_resolve_paths_and_keep_rules(tmp_path):
+    got = settings_of(tmp_path, SOUND, '[paths]\nsources = "other"\n')
+    assert got.get("paths", "sources") == str(tmp_path / "other") and got.get("paths", "output") == "/out" and got.get("images", "max_per_article") == 3
+    for bad, message in (
+        ("[images]\nmax_per_article = 0\n", "max_per_article"), ("[images]\nfetch_concurrency = 0\n", "fetch_concurrency"), ('[distribution]\nmode = "public"\n', "missing_license_action"), ("[images]\nmax_per_article = -1\n", "negative"),
+        ('[distribution]\nmode = "public"\n[images]\nmissing_license_action = "drop"\n', "attribution"), ('[paths]\nsources = "ref/x"\n', "paths.sources"), ('[paths]\noutput = "ref"\n', "paths.output"), ("[more]\na = 1\n", "unknown sections"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            settings_of(tmp_path, SOUND, bad)
+    with pytest.raises(ValueError, match="profile"):
+        settings_of(tmp_path, 'profile = "huge"\n' + SOUND)
+    with pytest.raises(ValueError, match="schema_version"):
+        settings_of(tmp_path, "schema_version = 2\n" + SOUND)
+
+
+def test_inventory_keeps_its_caps(spark, tmp_path):
+    (tmp_path / "book a" / "data").mkdir(parents=True)
+    (tmp_path / "book a" / "data" / "x.bin").write_bytes(b"abc")
+    (tmp_path / "book a" / "y.bin").write_bytes(b"")
+    (tmp_path / "catalog").write_bytes(b"12")
+    for root in (str(tmp_path), tmp_path.as_uri() + "/"):
+        found = locks.inventory(spark, root)
+        assert sorted((r["relative"], r["length"]) for r in found.collect()) == [("book a/data/x.bin", 3), ("book a/y.bin", 0), ("catalog", 2)]
+    assert sorted(map(tuple, locks.folder_groups(found).collect())) == [("", 1, 2), ("book a", 2, 3)]
+    for cap in ({"max_depth": 2}, {"max_entries": 2}, {"max_path_bytes": 10}):
+        with pytest.raises(ValueError, match="more than"):
+            locks.inventory(spark, str(tmp_path), **cap)
+
+
+def test_graphics_of_a_conversion_report_are_rendered(spark):
+    import json
+
+    from lexforge.operators import render
+
+    report = spark.createDataFrame([("m1", "g1", "ok"), ("m1", "g0", "ok"), ("m2", "g2", "failed"), ("m3", "g3", "ok"), (None, "g4", "ok")], "media_id string, name string, status string")
+    lookup = render.graphic_lookup(report, spark.createDataFrame([("g1",), ("g2",), ("g0",)], "name string"))
+    assert [tuple(r) for r in lookup.collect()] == [("m1", "g0")]
+    body = json.dumps([{"type": "image", "media_id": m, "alt_text": m} for m in ("m1", "m2")])
+    pages = spark.createDataFrame([(1, "T", ["T"], [], None, None, [], body, [], [], []), (2, "U", ["U"], [], None, None, [], body, [], [], [])], "page_id bigint, title string, headwords array<string>, keywords array<string>, modified string, abstract string, lead array<string>, body_json string, link_pages array<bigint>, categories array<string>, license_ids array<string>")
+    media = spark.createDataFrame([(1, "m1"), (1, "m1"), (1, "m2")], "page_id bigint, media_id string")
+    got = {r["page_id"]: r["body"] for r in render.render_entries(render.with_graphics(pages, media, lookup)).collect()}
+    assert got == {1: "T\n\n\x1eG:g0\x1f\nm1\n\n[画像: m2]", 2: "U\n\n[画像: m1]\n\n[画像: m2]"}
