@@ -73,6 +73,14 @@ def run_ingest(records: DataFrame, *, arrival: list[str], limits: ingest.Limits
     )
 
 
+def stored(raw: Raw, *, arrival: list[str], key: Key = nfkc_title) -> Raw:
+    """``raw`` with the accepted articles written once; both later stages and all child tables read them."""
+    columns = [c for c in ("identifier", "name", "url", "date_modified", "article_body", "redirects", "categories", "license", *arrival) if c in raw.articles.columns]
+    articles = materialize(raw.articles.select(*columns).withColumn("article_body", F.struct("article_body.html")), "articles")
+    redirects, categories, licenses = child_tables(articles, arrival=arrival, key=key)
+    return Raw(articles, raw.rejected, redirects, categories, licenses, raw.audit, raw.diagnostics)
+
+
 def child_tables(accepted: DataFrame, *, arrival: list[str], key: Key = nfkc_title) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(redirects, categories, licenses) of the accepted articles."""
     _, bridge = ingest.licenses(accepted, arrival=arrival[0])
@@ -118,7 +126,7 @@ def build(spark: SparkSession, records: DataFrame, *, arrival: list[str], output
         made = pipeline.Build(spark, output, lambda: records, arrival)
         made.run(force="ingest", control=f"{shared_folder(spark).removeprefix('file:')}/build-{uuid.uuid4().hex}")
         return Generated(made.table("search_terms"), made.entries(), made.table("issues"))
-    raw = run_ingest(records, arrival=arrival)
+    raw = stored(run_ingest(records, arrival=arrival), arrival=arrival)
     return run_generate(raw, run_normalize(raw))
 
 

@@ -411,12 +411,12 @@ def _records(spark, d) -> DataFrame:
 
 @query()
 def proj08_entries(spark, d):
-    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
+    raw = build.stored(build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True), arrival=["source_sequence"])
     made = build.run_generate(raw, build.run_normalize(raw))
     return made.entries
 
 
 @query()
 def proj13_entry_issues(spark, d):
-    raw = build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True)
+    raw = build.stored(build.run_ingest(_records(spark, d), arrival=["source_sequence"], positions=True), arrival=["source_sequence"])
     return build.run_generate(raw, build.run_normalize(raw)).issues
