@@ -166,8 +166,7 @@ def reference_search(a) -> int:
 def reference_sample(a) -> int:
     made = _stored(a, session())
     hits = made.spark.read.parquet(a.hits).filter("page_id is not null")
-    entries = made.entries().withColumn("page_id", F.expr("try_cast(substring(tag, 2) as bigint)"))
-    return _put(search.sample_entries(hits, entries.select("page_id", "body")), a.target)
+    return _put(search.sample_entries(hits, made.entries().select("page_id", "body")), a.target)
 
 
 def reference_report(a) -> int:

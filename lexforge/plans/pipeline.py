@@ -122,7 +122,9 @@ class Build:
         return self.put("metrics", stored.agg(F.count(F.lit(1)).alias("entries"), F.sum(size).alias("bytes"), F.sum(F.size("targets")).alias("links"))).first().asDict()
 
     def entries(self) -> DataFrame:
-        return self.spark.read.schema("tag string, title string, heading string, aliases array<string>, keywords array<string>, body string, targets array<string>").json(f"{self.output}/entries")
+        """The stored entries, with the page that each tag names."""
+        stored = self.spark.read.schema("tag string, title string, heading string, aliases array<string>, keywords array<string>, body string, targets array<string>").json(f"{self.output}/entries")
+        return stored.withColumn("page_id", F.expr("try_cast(substring(tag, 2) as bigint)"))
 
     # control
 

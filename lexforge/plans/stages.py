@@ -189,10 +189,6 @@ def log_line(level: str, message: str, **fields: Any) -> str:
     return canonical_json({"at": now(), "level": level, "message": hide("", message), **{k: hide(k, v) for k, v in fields.items()}})
 
 
-#: Version of the written tables; a manifest of another version makes a stage run again.
-SCHEMA_VERSION = 1
-
-
 def pending(planned: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What an interrupted stage still has to do."""
     return planned.join(done.select(F.col(key).alias("_d")).distinct(), F.col(key) == F.col("_d"), "left_anti")
