@@ -17,7 +17,7 @@ def schemas(plan: str) -> list[str]:
 
 @pytest.mark.parametrize(
     ("name", "never"),
-    [("v02_entry_issues", "body:"), ("j01_resolved_links", "article_body"), ("d01_accepted_states", "title"), ("t11_headword_index", "wikitext"), ("a02_table_counts", "text:"), ("w01_systematic_sample", "text:"), ("v01_duplicate_keys", "article_body")],
+    [("v02_entry_issues", "body:"), ("j01_resolved_links", "article_body"), ("d01_accepted_states", "title"), ("t11_headword_index", "wikitext"), ("t01_title_terms", "html"), ("t08_headwords", "html"), ("t09_collisions", "html"), ("t10_single_candidates", "html"), ("proj02_redirects", "html"), ("j03_redirect_aliases", "html"), ("a02_table_counts", "text:"), ("w01_systematic_sample", "text:"), ("v01_duplicate_keys", "article_body")],
 )
 def test_scans_read_only_what_is_needed(spark, small, name, never):
     for s in schemas(plan_of(registry.QUERIES[name](spark, small))):
@@ -40,3 +40,10 @@ def test_bodies_are_hashed_before_the_shuffle(spark, small):
     for line in plan.splitlines():
         if "Exchange hashpartitioning" in line:
             assert "html" not in line and "article_body" not in line
+
+
+@pytest.mark.parametrize("name", ["h04_block_counts", "x19_strata", "x20_content_hashes", "p3_messages"])
+def test_bodies_are_read_where_they_lie(spark, small, name):
+    for line in plan_of(registry.QUERIES[name](spark, small)).splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "html" not in line and "article_body" not in line
